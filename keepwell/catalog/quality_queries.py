@@ -223,7 +223,7 @@ def class_balance(spark, folder):
 
 
 def histogram(spark, folder):
-    return rounded(profile.histograms(settle(rounded(matrix(spark, folder, YEAR)))))
+    return rounded(profile.histograms(settle(rounded(matrix(spark, folder, YEAR)))), 3)
 
 
 QUERIES = {
@@ -567,8 +567,8 @@ ORACLE = {
         SELECT churn_label, count(*) AS cnt, round(count(*) / (SELECT count(*) FROM churn_labels), 6) AS class_share
         FROM churn_labels GROUP BY 1""", YEAR),
     "histogram": sql("""
-        SELECT g.churn_label, g.feature, g.bin, round(lo + g.bin * ((hi - lo) / 30), 6) AS bin_start,
-               CAST(coalesce(cnt, 0) AS BIGINT) AS cnt, round(coalesce(cnt, 0) / (n * ((hi - lo) / 30)), 6) AS density
+        SELECT g.churn_label, g.feature, g.bin, round(lo + g.bin * ((hi - lo) / 30), 3) AS bin_start,
+               CAST(coalesce(cnt, 0) AS BIGINT) AS cnt, round(coalesce(cnt, 0) / (n * ((hi - lo) / 30)), 3) AS density
         FROM grid g LEFT JOIN binned b ON g.churn_label = b.churn_label AND g.feature = b.feature AND g.bin = b.bin""",
         YEAR, more=_HISTOGRAM_MORE),
 }

@@ -71,36 +71,35 @@ def _week_slots(cutoffs: Sequence[date], days: int) -> list[tuple[int, int]]:
     return sorted(slots)
 
 
-def _weekly_sums(day: Column, start: Column, done: Column, amount: Column, slots: list[tuple[int, int]]) -> list[Column]:
+def _slot(day: Column, start: Column) -> Column:
+    """Number of the (week, year) offset of ``day`` from the window start."""
+    return (monday_number(day) - monday_number(start)) * 10 + (F.year(day) - F.year(start))
+
+
+def _weekly_sums(slots: list[tuple[int, int]]) -> list[Column]:
     """One conditional sum per slot; NULL where the week holds no completed order."""
-    week = monday_number(day) - monday_number(start)
-    year = F.year(day) - F.year(start)
-    return [
-        F.sum(F.when(done & (week == w) & (year == y), F.coalesce(amount, F.lit(0.0)))).alias(f"_week_{w}_{y}")
-        for w, y in slots
-    ]
+    return [F.expr(f"sum(CASE WHEN _slot = {w * 10 + y} THEN _spent END) AS _week_{w}_{y}") for w, y in slots]
 
 
-def _trend(start: Column, slots: list[tuple[int, int]], iso_year: bool) -> Column:
-    """Slope over the weeks with orders, in the order of year * 100 + ISO week.
+def _weeks(start: str, slots: list[tuple[int, int]], iso_year: bool) -> Column:
+    """Sums of the weeks with orders, in the order of year * 100 + ISO week.
 
     ``iso_year`` puts the weeks in calendar order and joins the two parts of a week that spans New Year.
     """
-    first_monday = monday_number(start)
     entries = []
     if iso_year:
         for week in sorted({w for w, _ in slots}):
-            parts = [F.col(f"_week_{w}_{y}") for w, y in slots if w == week]
-            known = F.filter(F.array(*parts), lambda part: part.isNotNull())
-            total = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda acc, part: acc + part))
-            entries.append(F.struct(F.lit(week).alias("key"), total.alias("amount")))
+            parts = [f"_week_{w}_{y}" for w, y in slots if w == week]
+            known = " AND ".join(f"{part} IS NULL" for part in parts)
+            total = " + ".join(f"coalesce({part}, 0D)" for part in parts)
+            entries.append(f"struct({week} AS key, CASE WHEN NOT ({known}) THEN {total} END AS amount)")
     else:
+        monday = f"date_sub({start}, weekday({start}))"
         for week, year in slots:
-            monday = F.date_add(F.lit(A_MONDAY), (first_monday + week) * 7)
-            key = (F.year(start) + year) * 100 + F.weekofyear(monday)
-            entries.append(F.struct(key.alias("key"), F.col(f"_week_{week}_{year}").alias("amount")))
-    known = F.filter(F.array(*entries), lambda entry: entry["amount"].isNotNull())
-    return slope(F.transform(F.array_sort(known), lambda entry: entry["amount"]))
+            key = f"(year({start}) + {year}) * 100 + weekofyear(date_add({monday}, {week * 7}))"
+            entries.append(f"struct({key} AS key, _week_{week}_{year} AS amount)")
+    listed = f"array_sort(filter(array({', '.join(entries)}), e -> e.amount IS NOT NULL))"
+    return F.expr(f"transform({listed}, e -> e.amount)")
 
 
 def order_rollup(
@@ -121,9 +120,9 @@ def order_rollup(
     cutoffs = sorted(set(cutoffs))
     day, cutoff = F.col("order_date"), cutoff_of(cutoffs)
     start = F.date_sub(cutoff, observation_days)
-    seen = day <= cutoff
-    done = seen & (F.col("order_status") == COMPLETED)
+    seen, done = F.col("_seen"), F.col("_done")
     amount = F.col("total_amount").cast("double")
+    marks = {"_seen": day <= cutoff, "_done": (day <= cutoff) & (F.col("order_status") == COMPLETED)}
 
     aggregates = [F.count(F.when(seen, True)).alias("orders_in_obs_window")]
     finals: dict[str, Column] = {}
@@ -146,9 +145,10 @@ def order_rollup(
         finals["spending_intensity"] = F.col("monetary_total") / float(observation_days)
     if "trend_slope_30d" in parts:
         slots = _week_slots(cutoffs, observation_days)
-        aggregates += _weekly_sums(day, start, done, amount, slots)
-        aggregates.append(F.max(done).alias("_any_done"))
-        finals["trend_slope_30d"] = F.when(F.col("_any_done"), _trend(start, slots, iso_year))
+        marks["_slot"] = F.when(marks["_done"], _slot(day, start))
+        marks["_spent"] = F.coalesce(amount, F.lit(0.0))
+        aggregates += [*_weekly_sums(slots), F.max(done).alias("_any_done")]
+        finals["trend_slope_30d"] = F.when(F.col("_any_done"), slope(F.col("_weeks")))
     if "avg_delivery_days" in parts:
         delivered = F.datediff(F.col("delivery_date"), day)
         known = done & (F.col("delivery_date") <= cutoff) if censor_future_delivery else done
@@ -170,13 +170,14 @@ def order_rollup(
             F.col("last_order_date"),
         ]
 
-    near = attach_cohorts(orders, "order_date", cutoffs, observation_days, ahead)
-    return (
-        near.groupBy(*group_key(cutoffs))
-        .agg(*aggregates)
-        .filter(F.col("orders_in_obs_window") > 0)
-        .select("customer_id", cutoff.alias("cutoff_date"), *columns)
-    )
+    near = attach_cohorts(orders, "order_date", cutoffs, observation_days, ahead).withColumns(marks)
+    rolled = near.groupBy(*group_key(cutoffs)).agg(*aggregates).filter(F.col("orders_in_obs_window") > 0)
+    if "trend_slope_30d" in parts:
+        # A column of its own: the slope refers to the array several times.
+        single = len(set(cutoffs)) == 1
+        first = f"DATE '{cutoffs[0] - timedelta(days=observation_days)}'" if single else f"date_sub(cutoff_date, {observation_days})"
+        rolled = rolled.withColumn("_weeks", _weeks(first, slots, iso_year))
+    return rolled.select("customer_id", cutoff.alias("cutoff_date"), *columns)
 
 
 def churn_labels(

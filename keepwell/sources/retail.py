@@ -15,6 +15,19 @@ CUTOFF = date(1997, 6, 30)
 EVENT_SHIFT_DAYS = 9710
 
 
+COLUMNS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz""",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 class Retail:
     """Star-schema tables of one folder. Each property builds only what it is asked for."""
 
@@ -23,7 +36,7 @@ class Retail:
         self.folder = folder
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self.spark.read.schema(COLUMNS[table]).parquet(f"{self.folder}/{table}.parquet")
 
     @property
     def orders_head(self) -> DataFrame:
