@@ -8,10 +8,11 @@ from keepwell.catalog.base import (
     COHORTS, CUTOFF, EARLIER, MONTH, YEAR, matrix, matrix_select, matrix_tables, raw_matrix, rounded, scratch, sql,
 )
 from keepwell.operators import features as feats
+from keepwell.operators.audit import stack
 from keepwell.operators.constraints import insert_if_absent, with_defaults
 from keepwell.params import MATRIX_NUMERIC
 from keepwell.plans.matrix import feature_matrix
-from keepwell.plans.training import clean_feature_matrix
+from keepwell.plans.training import clean_feature_matrix, labelled
 from keepwell.session import settle
 from keepwell.sources import lineage, store
 from keepwell.sources.retail import Retail
@@ -47,12 +48,13 @@ def parameterised_sql(spark, folder):
 
 
 def point_in_time_bundle(spark, folder):
-    known = bounded(Retail(spark, folder).bundle(), MONTH)
-    frames = [("customers", known.customers), ("orders", known.orders), ("tickets", known.tickets)]
-    counted = [
-        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for name, df in frames
-    ]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    known = bounded(labelled(Retail(spark, folder).bundle(), MONTH), MONTH)
+    frames = {
+        "customers": known.customers, "orders": known.orders, "tickets": known.tickets, "labels": known.labels
+    }
+    return stack([
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for name, df in frames.items()
+    ])
 
 
 def feature_preview(spark, folder):
@@ -265,6 +267,7 @@ ORACLE = {
     "point_in_time_bundle": sql(f"""
         SELECT 'customers' AS table_name, count(*) AS n_rows FROM dim_customers
         UNION ALL SELECT 'orders', count(*) FROM orders_head WHERE {WINDOW}
+        UNION ALL SELECT 'labels', count(*) FROM churn_labels
         UNION ALL SELECT 'tickets', count(*) FROM fact_support_tickets
                   WHERE created_date BETWEEN DATE '{START}' AND DATE '{END}'"""),
     "feature_preview": sql(matrix_select() + " ORDER BY customer_id LIMIT 10"),

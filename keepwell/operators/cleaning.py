@@ -121,21 +121,12 @@ def cap_iqr(df: DataFrame, column: str, factor: float = 1.5, accuracy: int | Non
 # -- whole tables -------------------------------------------------------------------------------------
 
 
-def _report(df: DataFrame, table: str, counts: dict[tuple[str, str], Column], notes: dict[tuple[str, str], str]) -> DataFrame:
-    """(table_name, step, column_name, rows, value), one row per step, the counts from one pass over ``df``."""
-    names = {cell: f"_n{i}" for i, cell in enumerate(counts)}
-    summed = df.agg(*[expr.alias(names[cell]) for cell, expr in counts.items()])
-    cells = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(step).alias("step"),
-            F.lit(column).alias("column_name"),
-            F.col(names[step, column]).cast("bigint").alias("affected_rows"),
-            F.lit(notes.get((step, column))).cast("string").alias("value"),
-        )
-        for step, column in counts
-    ]
-    return summed.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+REPORT = "table_name string, step string, column_name string, affected_rows bigint, value string"
+
+
+def _report(df: DataFrame, rows: Sequence[tuple]) -> DataFrame:
+    """The cleaning report; at most a few rows per column of a table."""
+    return df.sparkSession.createDataFrame(list(rows), REPORT)
 
 
 def _count(condition: Column) -> Column:
@@ -143,64 +134,70 @@ def _count(condition: Column) -> Column:
 
 
 def clean_orders(orders: DataFrame, settings: Cleaning = Cleaning(), accuracy: int | None = None) -> Cleaned:
-    """Parse dates, fix invariants, drop sparse columns, impute modes, cap amounts; in this order."""
+    """Parse dates, fix invariants, drop sparse columns, impute modes, cap amounts; in this order.
+
+    One pass counts rows, violations and gaps together; it also tells which of the later fits are needed.
+    """
+    table = "fact_orders"
     parsed = orders.withColumns({c: parse_date(c) for c in ("order_date", "delivery_date")})
-    counts = {
-        ("rows_before", ""): F.count(F.lit(1)),
-        ("violations", "delivery_date"): _count(delivery_violation()),
-        ("violations", "total_amount"): _count(amount_violation()),
-    }
-    notes: dict[tuple[str, str], str] = {}
-    fixed = fix_positive_amounts(fix_delivery_after_order(parsed), accuracy)
-    dropped = sparse_columns(fixed, settings.null_threshold, settings.protected)
-    for column in dropped:
-        counts["dropped", column] = _count(F.lit(True))
-    kept = fixed.drop(*dropped)
-    # A column without gaps keeps its NULL-free state, so fitting its mode would change nothing.
-    candidates = [c for c in MODE_COLUMNS if c in kept.columns]
-    gaps = kept.agg(*[_count(F.col(c).isNull()).alias(c) for c in candidates]).first() if candidates else {}
-    found = modes(kept, [c for c in candidates if gaps[c] > 0])
-    for column, value in found.items():
-        counts["imputed", column] = _count(F.col(column).isNull())
-        notes["imputed", column] = f"mode={value}"
-    filled = kept.fillna(found) if found else kept
-    data = filled
-    fence = iqr_fence(filled, "total_amount", settings.iqr_factor, accuracy) if "total_amount" in filled.columns else None
+    gap = {c: F.col(c).isNull() for c in parsed.columns}
+    gap["delivery_date"] = gap["delivery_date"] | delivery_violation()
+    found = parsed.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        _count(delivery_violation()).alias("_late"),
+        _count(amount_violation()).alias("_negative"),
+        *[_count(empty).alias(c) for c, empty in gap.items()],
+    ).first()
+    rows = found["_rows"]
+    lines = [
+        (table, "rows_before", "", rows, None),
+        (table, "violations", "delivery_date", found["_late"], None),
+        (table, "violations", "total_amount", found["_negative"], None),
+    ]
+    fixed = fix_delivery_after_order(parsed)
+    if found["_negative"]:
+        fixed = fix_positive_amounts(fixed, accuracy)
+    dropped = [
+        c for c in parsed.columns
+        if c not in settings.protected and rows and found[c] / rows > settings.null_threshold
+    ]
+    lines += [(table, "dropped", c, rows, None) for c in dropped]
+    data = fixed.drop(*dropped)
+    fills = modes(data, [c for c in MODE_COLUMNS if c in data.columns and found[c]])
+    if fills:
+        lines += [(table, "imputed", c, found[c], f"mode={value}") for c, value in fills.items()]
+        data = data.fillna(fills)
+    report = _report(orders, [*lines, (table, "rows_after", "", rows, None)])
+    fence = iqr_fence(data, "total_amount", settings.iqr_factor, accuracy) if "total_amount" in data.columns else None
     if fence is not None:
         amount = F.col("total_amount")
-        counts["capped", "total_amount"] = _count((amount < fence[0]) | (amount > fence[1]))
-        data = filled.withColumn("total_amount", clip(amount, *fence))
-    counts["rows_after", ""] = F.count(F.lit(1))
-    # Capping is judged on the amounts after the sign fix, the violations on the rows as they came.
-    before = {k: v for k, v in counts.items() if k[0] in ("rows_before", "violations", "dropped", "imputed")}
-    after = {k: v for k, v in counts.items() if k not in before}
-    report = _report(parsed, "fact_orders", before, notes).unionByName(
-        _report(filled, "fact_orders", after, notes)
-    )
+        capped = data.agg(_count((amount < fence[0]) | (amount > fence[1])).alias("affected_rows")).select(
+            F.lit(table).alias("table_name"), F.lit("capped").alias("step"), F.lit("total_amount").alias("column_name"),
+            "affected_rows", F.lit(None).cast("string").alias("value"),
+        )
+        report = report.unionByName(capped)
+        data = data.withColumn("total_amount", clip(amount, *fence))
     return Cleaned(data, report)
 
 
 def clean_support_tickets(tickets: DataFrame, accuracy: int | None = None) -> Cleaned:
     """Parse dates, void scores outside 1..5, impute the median score."""
+    table, score = "fact_support_tickets", "satisfaction_score"
     dates = [c for c in ("created_date", "resolved_date") if c in tickets.columns]
     parsed = tickets.withColumns({c: parse_date(c) for c in dates})
-    ranged = fix_satisfaction_range(parsed)
-    middle = medians(ranged, ["satisfaction_score"], accuracy=accuracy).get((), {}).get("satisfaction_score")
-    gap = F.col("satisfaction_score").isNull() | satisfaction_violation()
-    counts = {
-        ("rows_before", ""): F.count(F.lit(1)),
-        ("violations", "satisfaction_score"): _count(satisfaction_violation()),
-    }
-    notes = {}
-    data = ranged
-    if middle is not None:
-        counts["imputed", "satisfaction_score"] = _count(gap)
-        notes["imputed", "satisfaction_score"] = f"median={middle:.1f}"
-        data = ranged.withColumn(
-            "satisfaction_score", F.coalesce(F.col("satisfaction_score").cast("double"), F.lit(middle))
-        )
-    counts["rows_after", ""] = F.count(F.lit(1))
-    return Cleaned(data, _report(parsed, "fact_support_tickets", counts, notes))
+    found = parsed.agg(
+        F.count(F.lit(1)).alias("rows"),
+        _count(satisfaction_violation()).alias("outside"),
+        _count(F.col(score).isNull() | satisfaction_violation()).alias("gaps"),
+    ).first()
+    lines = [(table, "rows_before", "", found["rows"], None), (table, "violations", score, found["outside"], None)]
+    data = fix_satisfaction_range(parsed)
+    if found["gaps"] and found["gaps"] < found["rows"]:
+        middle = medians(data, [score], accuracy=accuracy)[()][score]
+        lines.append((table, "imputed", score, found["gaps"], f"median={middle:.1f}"))
+        data = data.withColumn(score, F.coalesce(F.col(score).cast("double"), F.lit(middle)))
+    lines.append((table, "rows_after", "", found["rows"], None))
+    return Cleaned(data, _report(tickets, lines))
 
 
 def clean_customers(customers: DataFrame, order: Sequence[str] = ("updated_at",)) -> Cleaned:
@@ -214,6 +211,10 @@ def clean_customers(customers: DataFrame, order: Sequence[str] = ("updated_at",)
     )
     if "email_opt_in" in data.columns:
         data = data.withColumn("email_opt_in", F.col("email_opt_in").cast("int"))
-    before = _report(parsed, "dim_customers", {("rows_before", ""): F.count(F.lit(1))}, {})
-    after = _report(data, "dim_customers", {("rows_after", ""): F.count(F.lit(1))}, {})
-    return Cleaned(data, before.unionByName(after))
+    def rows(df: DataFrame, step: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("affected_rows")).select(
+            F.lit("dim_customers").alias("table_name"), F.lit(step).alias("step"), F.lit("").alias("column_name"),
+            "affected_rows", F.lit(None).cast("string").alias("value"),
+        )
+
+    return Cleaned(data, rows(parsed, "rows_before").unionByName(rows(data.select("customer_id"), "rows_after")))

@@ -9,174 +9,115 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 # Distinct values of one column and group that one task may sort.
 SORTABLE = 200_000
-# Rank resolution of the sketch that proposes a bracket.
+# Edges that a sketch proposes per step, and its accuracy.
+EDGES = 500
 SKETCH = 5_000
 
 Fit = dict[tuple, dict[str, dict[float, float | None]]]
 
 
-class _Target:
-    """One wanted quantile: its two neighbouring ranks and the bracket known to hold them."""
-
-    def __init__(self, group: tuple, column: str, prob: float, rows: int, distinct: int):
-        self.group, self.column, self.prob = group, column, prob
-        place = prob * (rows - 1)
-        self.rank = math.floor(place)
-        self.weight = place - self.rank
-        self.upper = min(self.rank + 1, rows - 1) if self.weight > 0 else self.rank
-        self.low: float | None = None
-        self.high: float | None = None
-        self.below = 0
-        self.inside = rows
-        self.distinct = distinct
-
-
-def _within(target: _Target):
-    value = F.col(target.column).cast("double")
-    inside = value.isNotNull()
-    if target.low is not None:
-        inside = inside & (value >= target.low)
-    if target.high is not None:
-        inside = inside & (value <= target.high)
-    return value, inside
-
-
-def _same_group(by: Sequence[str], group: tuple):
-    match = F.lit(True)
-    for name, key in zip(by, group):
-        match = match & F.col(name).eqNullSafe(F.lit(key))
-    return match
-
-
-def _narrow(df: DataFrame, by: Sequence[str], targets: list[_Target]) -> None:
-    """Shrink the bracket of every target: a sketch proposes bounds, a count confirms them."""
-    proposals = []
-    for i, target in enumerate(targets):
-        value, inside = _within(target)
-        relative = (target.rank - target.below) / max(target.inside - 1, 1)
-        relative_up = (target.upper - target.below) / max(target.inside - 1, 1)
-        margin = 2.0 / SKETCH
-        bounds = [max(0.0, relative - margin), min(1.0, relative_up + margin)]
-        chosen = F.when(_same_group(by, target.group) & inside, value)
-        proposals.append(F.percentile_approx(chosen, bounds, SKETCH).alias(f"t{i}"))
-    proposed = df.agg(*proposals).first()
-
-    counts = []
-    for i, target in enumerate(targets):
-        value, inside = _within(target)
-        low, high = proposed[f"t{i}"]
-        mine = _same_group(by, target.group) & inside
-        counts += [
-            F.count(F.when(mine & (value < low), True)).alias(f"b{i}"),
-            F.count(F.when(mine & value.between(low, high), True)).alias(f"n{i}"),
-            F.approx_count_distinct(F.when(mine & value.between(low, high), value)).alias(f"d{i}"),
-        ]
-    counted = df.agg(*counts).first()
-    for i, target in enumerate(targets):
-        below, inside = target.below + counted[f"b{i}"], counted[f"n{i}"]
-        low, high = proposed[f"t{i}"]
-        if below <= target.rank and target.upper < below + inside:
-            if (low, high) == (target.low, target.high) and low != high:
-                # The sketch cannot split further: halve the value range instead.
-                _halve(df, by, target)
-                continue
-            target.low, target.high = low, high
-            target.below, target.inside, target.distinct = below, inside, counted[f"d{i}"]
-        else:
-            _halve(df, by, target)
-
-
-def _halve(df: DataFrame, by: Sequence[str], target: _Target) -> None:
-    """Split the bracket at its middle value and keep the side, or both, that the ranks fall in."""
-    value, inside = _within(target)
-    mine = _same_group(by, target.group) & inside
-    edge = df.agg(F.min(F.when(mine, value)).alias("low"), F.max(F.when(mine, value)).alias("high")).first()
-    low, high = edge["low"], edge["high"]
-    middle = low + (high - low) / 2
-    side = df.agg(
-        F.count(F.when(mine & (value <= middle), True)).alias("n"),
-        F.min(F.when(mine & (value > middle), value)).alias("next"),
-        F.max(F.when(mine & (value <= middle), value)).alias("last"),
-        F.approx_count_distinct(F.when(mine & (value <= middle), value)).alias("d_left"),
-        F.approx_count_distinct(F.when(mine & (value > middle), value)).alias("d_right"),
-    ).first()
-    left_end = target.below + side["n"]
-    if target.upper < left_end:
-        target.low, target.high, target.inside, target.distinct = low, middle, side["n"], side["d_left"]
-    elif target.rank >= left_end:
-        target.low, target.high = side["next"], high
-        target.inside, target.below, target.distinct = target.inside - side["n"], left_end, side["d_right"]
-    else:
-        # The two ranks sit on both sides: they are the last value on the left and the first on the right.
-        in_edges = df.agg(
-            F.count(F.when(mine & (value < side["last"]), True)).alias("b"),
-            F.count(F.when(mine & value.between(side["last"], side["next"]), True)).alias("n"),
-        ).first()
-        target.low, target.high, target.distinct = side["last"], side["next"], 2
-        target.below, target.inside = target.below + in_edges["b"], in_edges["n"]
-
-
-def _resolve(df: DataFrame, by: Sequence[str], targets: list[_Target]) -> None:
-    """Sort the distinct values of every bracket and read off the ranks."""
-    spark = df.sparkSession
+@dataclass
+class _Rank:
+    """A wanted rank, and the bracket of values known to hold it."""
+
+    group: tuple
+    column: str
+    rank: int
+    inside: int
+    distinct: int
+    low: float | None = None
+    high: float | None = None
+    below: int = 0
+    value: float | None = None
+
+
+def _candidates(df: DataFrame, by: Sequence[str], ranks: Sequence[_Rank], extra: str = "", values=None) -> DataFrame:
+    """(target, value, ...) for the values in the bracket of each rank. ``extra`` names more columns per rank.
+
+    The table of ranks has one row per quantile asked for, and values outside go before any shuffle.
+    """
     names = [f"_g{i}" for i in range(len(by))]
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    wanted = spark.createDataFrame(
-        [
-            (*t.group, t.column, i, t.low, t.high, t.rank - t.below, t.upper - t.below)
-            for i, t in enumerate(targets)
-        ],
-        ", ".join([f"{n} {types[b]}" for n, b in zip(names, by)])
-        + (", " if by else "")
-        + "column string, target int, low double, high double, rank bigint, upper bigint",
+    fields = [f"{n} {types[b]}" for n, b in zip(names, by)]
+    fields += ["_column string", "target int", "low double", "high double"] + ([extra] if extra else [])
+    rows = [
+        (*r.group, r.column, i, r.low, r.high, *(values[i] if values else ())) for i, r in enumerate(ranks)
+    ]
+    wanted = df.sparkSession.createDataFrame(rows, ", ".join(fields))
+    cells = [
+        F.struct(F.lit(c).alias("_name"), F.col(c).cast("double").alias("value"))
+        for c in sorted({r.column for r in ranks})
+    ]
+    long = df.select(*[F.col(b).alias(f"_b{i}") for i, b in enumerate(by)], F.explode(F.array(*cells)).alias("_cell"))
+    long = long.select(*[f"_b{i}" for i in range(len(by))], "_cell.*").filter("value IS NOT NULL")
+    match = F.col("_name") == F.col("_column")
+    for i, name in enumerate(names):
+        match = match & F.col(f"_b{i}").eqNullSafe(F.col(name))
+    return long.join(F.broadcast(wanted), match).filter(
+        "(low IS NULL OR value >= low) AND (high IS NULL OR value <= high)"
     )
-    columns = sorted({t.column for t in targets})
-    long = df.select(
-        *[F.col(b).alias(n) for n, b in zip(names, by)],
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-            ])
-        ).alias("cell"),
-    ).select(*names, "cell.*").filter(F.col("value").isNotNull())
-    # `wanted` holds one row per quantile asked for; values outside the bracket go before the shuffle.
-    match = F.col("v.column") == F.col("w.column")
-    for name in names:
-        match = match & F.col(f"v.{name}").eqNullSafe(F.col(f"w.{name}"))
-    kept = (
-        long.alias("v")
-        .join(F.broadcast(wanted.alias("w")), match)
-        .filter(
-            (F.col("low").isNull() | (F.col("value") >= F.col("low")))
-            & (F.col("high").isNull() | (F.col("value") <= F.col("high")))
-        )
-        .groupBy("target", "rank", "upper", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _narrow(df: DataFrame, by: Sequence[str], ranks: list[_Rank]) -> None:
+    """One step for each rank: a sketch proposes a smaller bracket, a count says on which side of it the rank is."""
+    grid = [i / EDGES for i in range(EDGES + 1)]
+    sketches = _candidates(df, by, ranks).groupBy("target").agg(
+        F.percentile_approx("value", grid, SKETCH).alias("edges"), F.min("value").alias("min"), F.max("value").alias("max")
     )
-    running = F.sum("rows").over(
-        Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    proposals: list[tuple[float, float]] = [(0.0, 0.0)] * len(ranks)
+    for row in sketches.collect():
+        rank = ranks[row["target"]]
+        place = (rank.rank - rank.below) / max(rank.inside - 1, 1) * EDGES
+        first, last = math.floor(place) - 1, math.ceil(place) + 1
+        low = row["edges"][first] if first > 0 else row["min"]
+        high = row["edges"][last] if last < EDGES else row["max"]
+        if low == row["min"] and high == row["max"]:
+            high = low + (high - low) / 2
+        proposals[row["target"]] = (low, high)
+
+    under, over = F.col("value") < F.col("p_low"), F.col("value") > F.col("p_high")
+    inner = ~under & ~over
+    counted = _candidates(df, by, ranks, "p_low double, p_high double", proposals).groupBy("target").agg(
+        F.count(F.when(under, True)).alias("n_under"),
+        F.count(F.when(inner, True)).alias("n_inner"),
+        F.approx_count_distinct(F.when(under, F.col("value"))).alias("d_under"),
+        F.approx_count_distinct(F.when(inner, F.col("value"))).alias("d_inner"),
+        F.approx_count_distinct(F.when(over, F.col("value"))).alias("d_over"),
+        F.max(F.when(under, F.col("value"))).alias("before"),
+        F.min(F.when(over, F.col("value"))).alias("after"),
     )
+    for row in counted.collect():
+        rank = ranks[row["target"]]
+        start = rank.below + row["n_under"]
+        end = start + row["n_inner"]
+        if rank.rank < start:
+            rank.high, rank.inside, rank.distinct = row["before"], row["n_under"], row["d_under"]
+        elif rank.rank < end:
+            rank.low, rank.high = proposals[row["target"]]
+            rank.below, rank.inside, rank.distinct = start, row["n_inner"], row["d_inner"]
+        else:
+            rank.low, rank.inside = row["after"], rank.inside - row["n_under"] - row["n_inner"]
+            rank.below, rank.distinct = end, row["d_over"]
+
+
+def _resolve(df: DataFrame, by: Sequence[str], ranks: list[_Rank]) -> None:
+    """Sort the distinct values of every bracket and read off the ranks."""
+    inside = _candidates(df, by, ranks, "place bigint", [(r.rank - r.below,) for r in ranks])
+    counted = inside.groupBy("target", "place", "value").agg(F.count(F.lit(1)).alias("rows"))
+    so_far = Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     hits = (
-        kept.withColumn("end", running)
-        .withColumn("begin", F.col("end") - F.col("rows"))
-        .filter(
-            ((F.col("begin") <= F.col("rank")) & (F.col("rank") < F.col("end")))
-            | ((F.col("begin") <= F.col("upper")) & (F.col("upper") < F.col("end")))
-        )
+        counted.withColumn("end", F.sum("rows").over(so_far))
+        .filter("end - rows <= place AND place < end")
         .select("target", "value")
-        .collect()
     )
-    found: dict[int, list[float]] = {}
-    for row in hits:
-        found.setdefault(row["target"], []).append(row["value"])
-    for i, target in enumerate(targets):
-        low, high = min(found[i]), max(found[i])
-        target.value = low + (high - low) * target.weight
+    for row in hits.collect():
+        ranks[row["target"]].value = row["value"]
 
 
 def exact_quantiles(
@@ -191,29 +132,39 @@ def exact_quantiles(
     be stored.
     """
     columns = list(wanted)
-    stats = [
-        expr
-        for c in columns
-        for expr in (
-            F.count(c).alias(f"{c}__n"),
-            F.approx_count_distinct(F.col(c).cast("double")).alias(f"{c}__d"),
-        )
-    ]
-    groups = (df.groupBy(*by).agg(*stats) if by else df.agg(*stats)).collect()
+
+    def per_group(*aggregates):
+        return (df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)).collect()
+
     fit: Fit = {}
-    targets: list[_Target] = []
-    for row in groups:
+    ranks: dict[tuple, _Rank] = {}
+    places = []
+    for row in per_group(*[F.count(c).alias(c) for c in columns]):
         group = tuple(row[b] for b in by)
         fit[group] = {c: {p: None for p in wanted[c]} for c in columns}
         for c in columns:
-            if row[f"{c}__n"]:
-                targets += [_Target(group, c, p, row[f"{c}__n"], row[f"{c}__d"]) for p in wanted[c]]
-    while wide := [t for t in targets if t.distinct > sortable]:
+            for p in wanted[c] if row[c] else ():
+                place = p * (row[c] - 1)
+                first = math.floor(place)
+                ends = (first, min(first + 1, row[c] - 1))
+                for rank in ends:
+                    # A column cannot have more distinct values than rows.
+                    ranks.setdefault((group, c, rank), _Rank(group, c, rank, row[c], row[c]))
+                places.append((group, c, p, place - first, *ends))
+    # Only long columns need the estimate.
+    long = sorted({r.column for r in ranks.values() if r.distinct > sortable})
+    if long:
+        for row in per_group(*[F.approx_count_distinct(F.col(c).cast("double")).alias(c) for c in long]):
+            for r in ranks.values():
+                if r.group == tuple(row[b] for b in by) and r.column in long:
+                    r.distinct = min(r.distinct, row[r.column])
+    while wide := [r for r in ranks.values() if r.distinct > sortable]:
         _narrow(df, by, wide)
-    if targets:
-        _resolve(df, by, targets)
-    for t in targets:
-        fit[t.group][t.column][t.prob] = t.value
+    if ranks:
+        _resolve(df, by, list(ranks.values()))
+    for group, c, p, weight, first, last in places:
+        low, high = ranks[group, c, first].value, ranks[group, c, last].value
+        fit[group][c][p] = low + (high - low) * weight
     return fit
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from keepwell.operators.learning import TrainedModel
 
@@ -19,25 +19,28 @@ REGISTRY = (
 )
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """(rows, fingerprint): sum of row hashes. The order of rows does not matter, repeated rows do."""
+def _fingerprint(df: DataFrame) -> list[Column]:
     row_hash = F.xxhash64(*[F.col(c) for c in sorted(df.columns)]).cast("decimal(38,0)")
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("fingerprint")
-    )
+    ]
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """(rows, fingerprint): sum of row hashes. The order of rows does not matter, repeated rows do."""
+    return df.agg(*_fingerprint(df))
 
 
 def lineage_record(df: DataFrame, artifact: str, path: str, cutoff: date | None = None) -> DataFrame:
-    """One row that describes an artifact; the label's mean is its churn rate."""
-    facts = fingerprint(df)
-    rate = df.agg(F.avg("churn_label")).scalar() if "churn_label" in df.columns else F.lit(None).cast("double")
-    return facts.select(
+    """One row that describes an artifact, from one pass over it; the label's mean is its churn rate."""
+    rate = F.avg("churn_label") if "churn_label" in df.columns else F.lit(None).cast("double")
+    return df.agg(*_fingerprint(df), rate.alias("churn_rate")).select(
         F.lit(artifact).alias("artifact"),
         F.lit(path).alias("path"),
         "rows",
         F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
         "fingerprint",
-        rate.alias("churn_rate"),
+        "churn_rate",
         F.lit(cutoff).cast("date").alias("cutoff_date"),
         F.current_timestamp().alias("recorded_at"),
     )

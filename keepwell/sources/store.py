@@ -10,6 +10,12 @@ from keepwell.operators.constraints import insert_if_absent, split_by_rules
 from keepwell.sources.schemas import KEYS, RULES
 
 
+def write_fact(df: DataFrame, path: str, day: str, key: str) -> None:
+    """Store a fact table by date range, sorted by date and key, so that each file covers few days and a
+    window scan skips the others by their statistics."""
+    df.repartitionByRange(day, key).sortWithinPartitions(day, key).write.mode("overwrite").parquet(path)
+
+
 def write_matrix(matrix: DataFrame, path: str, version: str | None = None) -> None:
     """Store the matrix by cutoff, replacing only the cutoffs it holds; sorted by customer within files."""
     rows = matrix if version is None else matrix.withColumn("pipeline_version", F.lit(version))

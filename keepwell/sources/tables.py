@@ -59,26 +59,28 @@ def labels_of(labels: DataFrame, cutoff: date | None = None) -> DataFrame:
 def bounded(bundle: Bundle, params: Params) -> Bundle:
     """The bundle as known at the cutoff: orders and tickets of the observation window only.
 
-    Lines carry no date; they are bounded by the join with the orders.
+    Lines carry no date; they are bounded by the join with the orders. Labels have to be there already, as
+    they need the orders after the cutoff.
     """
+    if bundle.labels is None:
+        raise ValueError("draw the labels before the orders are bounded")
     start, end = params.observation_start, params.cutoff
     return bundle.having(
         orders=between_dates(bundle.orders, "order_date", start, end),
         tickets=between_dates(bundle.tickets, "created_date", start, end),
-        labels=None if bundle.labels is None else labels_of(bundle.labels, end),
+        labels=labels_of(bundle.labels, end),
     )
 
 
-def read_bundle(spark: SparkSession, root: str, params: Params, with_labels: bool = True) -> Bundle:
-    """The bounded bundle of a star schema stored as one Parquet folder per table."""
-    whole = Bundle(
+def read_bundle(spark: SparkSession, root: str, with_labels: bool = True) -> Bundle:
+    """The bundle of a star schema stored as one Parquet folder per table, not yet bounded."""
+    return Bundle(
         customers=scan(spark, root, "dim_customers"),
         orders=scan(spark, root, "fact_orders"),
         items=items_with_products(scan(spark, root, "fact_order_items"), scan(spark, root, "dim_products")),
         tickets=scan(spark, root, "fact_support_tickets"),
         labels=scan(spark, root, "ml_churn_labels") if with_labels else None,
     )
-    return bounded(whole, params)
 
 
 def run_sql(spark: SparkSession, text: str, args: Mapping | list | None = None, **frames: DataFrame) -> DataFrame:
