@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from keepwell.operators.quantiles import quantiles
 from keepwell.params import NUMERIC_FEATURES
@@ -47,15 +47,25 @@ def describe(
     return moments.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
 
 
+def pearson(a: str, b: str) -> Column:
+    """Correlation over the rows where both are present; NULL if one is constant.
+
+    Spark's ``corr`` fails on a constant column in ANSI mode.
+    """
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    deviations = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), deviations)
+
+
 def correlations(matrix: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson correlation of every pair (``feature_a`` before ``feature_b``) in one pass; NULL if one is constant."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    corr = matrix.agg(*[F.corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    corr = matrix.agg(*[pearson(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
     rows = [
         F.struct(
             F.lit(a).alias("feature_a"),
             F.lit(b).alias("feature_b"),
-            F.when(~F.isnan(f"_c{i}"), F.round(f"_c{i}", digits)).alias("correlation"),
+            F.round(f"_c{i}", digits).alias("correlation"),
         )
         for i, (a, b) in enumerate(pairs)
     ]
@@ -65,9 +75,9 @@ def correlations(matrix: DataFrame, columns: Sequence[str], digits: int = 6) ->
 def target_correlation(
     matrix: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES, target: str = "churn_label", digits: int = 6
 ) -> DataFrame:
-    corr = matrix.agg(*[F.corr(c, target).alias(c) for c in columns])
+    corr = matrix.agg(*[pearson(c, target).alias(c) for c in columns])
     rows = [
-        F.struct(F.lit(c).alias("feature"), F.when(~F.isnan(c), F.round(c, digits)).alias("correlation"))
+        F.struct(F.lit(c).alias("feature"), F.round(c, digits).alias("correlation"))
         for c in columns
     ]
     listed = corr.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
