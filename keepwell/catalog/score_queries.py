@@ -298,7 +298,7 @@ _MORE = {
                sum(churn_label) OVER () AS p,
                sum(churn_label) OVER (ORDER BY score DESC, customer_id ROWS UNBOUNDED PRECEDING) AS found
         FROM scored""",
-    "thresholds": "SELECT i, 0.2::DOUBLE + i::DOUBLE * 0.01::DOUBLE AS t FROM range(40) AS r(i)",
+    "thresholds": "SELECT i, 0.2::DOUBLE + i::DOUBLE * ((0.2::DOUBLE + 0.01::DOUBLE) - 0.2::DOUBLE) AS t FROM range(40) AS r(i)",
     "rated": """
         SELECT round(t, 3) AS threshold,
                count(*) FILTER (WHERE score >= t AND churn_label = 1)

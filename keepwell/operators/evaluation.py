@@ -124,8 +124,7 @@ def lift_curve(
 
 
 def _grid(search: ThresholdSearch) -> list[float]:
-    size = int(np.ceil((search.end - search.start) / search.step))
-    return [search.start + i * search.step for i in range(size)]
+    return [float(t) for t in np.arange(search.start, search.end, search.step)]
 
 
 def _grid_bucket(score: Column, grid: Sequence[float], step: float) -> Column:
