@@ -15,6 +15,7 @@ from keepwell.params import MATRIX_NUMERIC, NUMERIC_FEATURES
 from keepwell.plans import report
 from keepwell.plans.matrix import assemble
 from keepwell.plans.training import clean_bundle
+from keepwell.plans.views import audit_views as audit_views_of, register_views
 from keepwell.session import settle
 from keepwell.sources.retail import Retail
 from keepwell.sources.schemas import PARENTS, RULES
@@ -188,6 +189,21 @@ def stop_go_summary(spark, folder):
     return audit.stop_go_summary(keys, audit.business_invariants(tables), _coverage(spark, folder))
 
 
+def audit_views(spark, folder):
+    """The checks that fail, with the rows of the views behind them, asked in SQL."""
+    head = Retail(spark, folder).orders_head
+    labels = feats.churn_labels(head, [EARLIER, CUTOFF])
+    views = audit_views_of(star(spark, folder), labels, feats.order_rollup(head, [CUTOFF], parts=()), STAR_KEYS)
+    register_views(views)
+    return spark.sql("""
+        SELECT 'key' AS kind, table_name AS subject, duplicate_keys + coalesce(orphan_rows, 0) AS amount
+        FROM v_key_integrity WHERE dup_rate_pct > 0 OR orphan_rate_pct > 0
+        UNION ALL SELECT 'invariant', invariant_name, violations FROM v_business_invariants WHERE violations > 0
+        UNION ALL SELECT 'coverage', stop_go_status, customers_without_features FROM v_feature_coverage
+        UNION ALL SELECT 'join', join_name, n_right FROM v_explosion_factors WHERE explosion_factor > 1
+        UNION ALL SELECT 'gate', check_name, CAST(NULL AS BIGINT) FROM v_stop_go_summary WHERE status = 'FAIL'""")
+
+
 def _reasons(spark, folder, params):
     tables = star(spark, folder)
     raw, whole = matrices(spark, folder, params)
@@ -253,6 +269,7 @@ QUERIES = {
     "missing_ranking": missing_ranking,
     "feature_coverage": feature_coverage,
     "stop_go_summary": stop_go_summary,
+    "audit_views": audit_views,
     "stop_go_reasons_month": stop_go_month,
     "stop_go_reasons_year": stop_go_year,
     "describe_features": describe_features,
@@ -349,6 +366,10 @@ _LABELS = {"ml_churn_labels": "SELECT * FROM churn_labels"}
 _MATRIX_COLUMNS = ("customer_id", "cutoff_date", *MATRIX_NUMERIC, "customer_segment", "preferred_category")
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def _missing(column: str) -> str:
     kind, treatment = audit.MISSING_KINDS.get(column, (None, None))
     empty = f"count(*) FILTER (WHERE {column} IS NULL)"
@@ -356,7 +377,7 @@ def _missing(column: str) -> str:
         kind_sql = f"CASE WHEN {empty} > 0 THEN '{audit.DEFAULT_KIND[0]}' ELSE '{audit.NO_KIND[0]}' END"
         treatment_sql = f"CASE WHEN {empty} > 0 THEN '{audit.DEFAULT_KIND[1]}' ELSE '{audit.NO_KIND[1]}' END"
     else:
-        kind_sql, treatment_sql = f"'{kind}'", f"'{treatment}'"
+        kind_sql, treatment_sql = _quoted(kind), _quoted(treatment)
     return f"""
         SELECT '{column}' AS column_name, {empty} AS null_count,
                round({empty} * 100.0 / greatest(count(*), 1), 2) AS null_pct, {kind_sql} AS missing_type,
@@ -545,14 +566,26 @@ ORACLE = {
     "missing_ranking": sql("""
         SELECT column_name, null_pct, missing_type FROM missing_report WHERE null_pct > 0""", more=_MORE),
     "feature_coverage": sql("SELECT * FROM coverage_report", cutoffs=_TWO, more=_MORE),
-    "stop_go_summary": sql("""
+    "stop_go_summary": sql(f"""
         SELECT 'Key Integrity' AS check_name,
                CASE WHEN sum(dup_rate_pct) = 0 AND coalesce(sum(orphan_rate_pct), 0) = 0 THEN 'PASS' ELSE 'FAIL' END
-                   AS status FROM key_report
-        UNION ALL SELECT 'Business Invariants', CASE WHEN sum(violations) = 0 THEN 'PASS' ELSE 'FAIL' END
-                  FROM invariant_report
-        UNION ALL SELECT 'Feature Coverage', CASE WHEN coverage_pct = 100 THEN 'PASS' ELSE 'FAIL' END
-                  FROM coverage_report""", cutoffs=_TWO, more=_MORE),
+                   AS status, {_quoted(audit.CHECKS['Key Integrity'])} AS description FROM key_report
+        UNION ALL SELECT 'Business Invariants', CASE WHEN sum(violations) = 0 THEN 'PASS' ELSE 'FAIL' END,
+                  {_quoted(audit.CHECKS['Business Invariants'])} FROM invariant_report
+        UNION ALL SELECT 'Feature Coverage', CASE WHEN coverage_pct = 100 THEN 'PASS' ELSE 'FAIL' END,
+                  {_quoted(audit.CHECKS['Feature Coverage'])} FROM coverage_report""", cutoffs=_TWO, more=_MORE),
+    "audit_views": sql(f"""
+        SELECT 'key' AS kind, table_name AS subject, duplicate_keys + coalesce(orphan_rows, 0) AS amount
+        FROM key_report WHERE (dup_rate_pct > 0 OR orphan_rate_pct > 0) AND table_name <> 'dim_products'
+        UNION ALL SELECT 'invariant', invariant_name, violations FROM invariant_report WHERE violations > 0
+        UNION ALL SELECT 'coverage', stop_go_status, customers_without_features FROM coverage_report
+        UNION ALL SELECT 'join', join_name, n_right FROM joins WHERE explosion_factor > 1
+        UNION ALL SELECT 'gate', 'Key Integrity', NULL FROM key_report WHERE table_name <> 'dim_products'
+                  HAVING sum(dup_rate_pct) > 0 OR sum(orphan_rate_pct) > 0
+        UNION ALL SELECT 'gate', 'Business Invariants', NULL FROM invariant_report HAVING sum(violations) > 0
+        UNION ALL SELECT 'gate', 'Feature Coverage', NULL FROM coverage_report WHERE coverage_pct <> 100""",
+        cutoffs=_TWO,
+        more={**_MORE, "joins": " UNION ALL ".join(_explosion(a, b) for a, b, _ in report.FACT_JOINS)}),
     "stop_go_reasons_month": sql(_REASONS_SQL, more=_MORE),
     "stop_go_reasons_year": sql(_REASONS_SQL, YEAR, more=_MORE),
     "describe_features": sql(" UNION ALL ".join(_described(c) for c in NUMERIC_FEATURES)),

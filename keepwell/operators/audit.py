@@ -155,15 +155,15 @@ def business_invariants(tables: Mapping[str, DataFrame]) -> DataFrame:
     return stack(frames)
 
 
-# Kinds of absence of the features that are known to have gaps.
+# Kind of absence and treatment of the features that are known to have gaps, and of the others.
 MISSING_KINDS = {
-    "avg_satisfaction_score": ("MNAR", "median and an indicator column"),
-    "avg_delivery_days": ("MAR", "median by order status"),
-    "return_rate": ("MCAR", "mean"),
-    "trend_slope_30d": ("MAR", "0.0, no trend"),
+    "avg_satisfaction_score": ("MNAR", "Imputación por mediana + indicador binario 'has_csat'"),
+    "avg_delivery_days": ("MAR", "Imputación por mediana estratificada por order_status"),
+    "return_rate": ("MCAR", "Imputación por media de la distribución observada"),
+    "trend_slope_30d": ("MAR", "Imputación por 0.0 (sin tendencia detectable)"),
 }
-DEFAULT_KIND = ("MCAR (default)", "median or mode")
-NO_KIND = ("—", "none needed")
+DEFAULT_KIND = ("MCAR (default)", "Imputación por mediana/moda")
+NO_KIND = ("—", "No requiere")
 
 
 def missingness(matrix: DataFrame, threshold: float = 0.40, skip: Sequence[str] = ("churn_label",)) -> DataFrame:
@@ -229,12 +229,22 @@ def feature_coverage(labels: DataFrame, store: DataFrame) -> DataFrame:
     )
 
 
+# The three checks and what they ask for.
+CHECKS = {
+    "Key Integrity": "dup_rate=0% en todas las tablas, orphan_rate=0%",
+    "Business Invariants": "Sin violaciones temporales ni de integridad de valores",
+    "Feature Coverage": "Todos los clientes con etiquetas tienen features calculadas",
+}
+
+
 def stop_go_summary(keys: DataFrame, invariants: DataFrame, coverage: DataFrame) -> DataFrame:
     """PASS or FAIL of the three checks."""
 
     def verdict(df: DataFrame, name: str, passed: Column) -> DataFrame:
         return df.agg(passed.alias("_ok")).select(
-            F.lit(name).alias("check_name"), F.when(F.col("_ok"), "PASS").otherwise("FAIL").alias("status")
+            F.lit(name).alias("check_name"),
+            F.when(F.col("_ok"), "PASS").otherwise("FAIL").alias("status"),
+            F.lit(CHECKS[name]).alias("description"),
         )
 
     no_orphans = F.coalesce(F.sum("orphan_rate_pct"), F.lit(0.0)) == 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from keepwell.operators.quantiles import quantiles
 from keepwell.params import NUMERIC_FEATURES
@@ -47,41 +47,50 @@ def describe(
     return moments.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
 
 
-def pearson(a: str, b: str) -> Column:
-    """Correlation over the rows where both are present; NULL if one is constant.
+def _pearson(matrix: DataFrame, pairs: Sequence[tuple[str, str]], digits: int) -> DataFrame:
+    """(feature_a, feature_b, correlation) over the rows where both are present; NULL if one is constant.
 
-    Spark's ``corr`` fails on a constant column in ANSI mode.
+    Made of covariances and deviations, as Spark's ``corr`` fails on a constant column in ANSI mode. Without
+    gaps the deviation of a column serves all its pairs.
     """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    deviations = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), deviations)
-
-
-def correlations(matrix: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pearson correlation of every pair (``feature_a`` before ``feature_b``) in one pass; NULL if one is constant."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    corr = matrix.agg(*[pearson(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    x = {c: F.col(c).cast("double") for c in names}
+    gaps = matrix.agg(*[F.count(F.when(F.col(c).isNull(), True)).alias(c) for c in names]).first()
+    whole = [c for c in names if gaps[c] == 0]
+
+    def deviation(c: str, other: str) -> str:
+        return f"_s_{c}" if c in whole and other in whole else f"_s_{c}_{other}"
+
+    aggregates = {f"_s_{c}": F.stddev_pop(x[c]) for c in whole}
+    for a, b in pairs:
+        aggregates[f"_c_{a}_{b}"] = F.covar_pop(x[a], x[b])
+        for c, other in ((a, b), (b, a)):
+            if deviation(c, other) not in aggregates:
+                aggregates[deviation(c, other)] = F.stddev_pop(F.when(x[other].isNotNull(), x[c]))
+    summed = matrix.agg(*[expr.alias(name) for name, expr in aggregates.items()])
     rows = [
         F.struct(
             F.lit(a).alias("feature_a"),
             F.lit(b).alias("feature_b"),
-            F.round(f"_c{i}", digits).alias("correlation"),
+            F.round(
+                F.try_divide(F.col(f"_c_{a}_{b}"), F.col(deviation(a, b)) * F.col(deviation(b, a))), digits
+            ).alias("correlation"),
         )
-        for i, (a, b) in enumerate(pairs)
+        for a, b in pairs
     ]
-    return corr.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+    return summed.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+
+
+def correlations(matrix: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """Pearson correlation of every pair, ``feature_a`` listed before ``feature_b``; one pass for all pairs."""
+    return _pearson(matrix, [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]], digits)
 
 
 def target_correlation(
     matrix: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES, target: str = "churn_label", digits: int = 6
 ) -> DataFrame:
-    corr = matrix.agg(*[pearson(c, target).alias(c) for c in columns])
-    rows = [
-        F.struct(F.lit(c).alias("feature"), F.round(c, digits).alias("correlation"))
-        for c in columns
-    ]
-    listed = corr.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
-    return listed.orderBy(F.desc("correlation"), "feature")
+    found = _pearson(matrix, [(c, target) for c in columns], digits)
+    return found.select(F.col("feature_a").alias("feature"), "correlation").orderBy(F.desc("correlation"), "feature")
 
 
 def class_balance(matrix: DataFrame, label: str = "churn_label") -> DataFrame:

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from keepwell.operators import audit, baselines, cleaning, evaluation, features, learning
-from keepwell.operators.splits import with_holdout
+from keepwell.operators.splits import expanding_folds, with_holdout
 from keepwell.params import Params
 from keepwell.plans.matrix import assemble, feature_matrix, fit_medians, impute
 from keepwell.session import settle
+from keepwell.sources.schemas import KEYS
 from keepwell.sources.tables import Bundle, bounded
 
 
@@ -83,6 +85,9 @@ def full_evaluation(
     return reports
 
 
+HEADLINE = ("recall", "precision", "f1", "auc_roc", "auc_pr", "lift_at_20")
+
+
 def headline(reports: dict[str, DataFrame]) -> dict[str, float]:
     """The single numbers of an evaluation, from its one-row reports."""
     confusions, ranking, lift = (reports[k].first() for k in ("confusion", "ranking", "lift"))
@@ -96,6 +101,26 @@ def headline(reports: dict[str, DataFrame]) -> dict[str, float]:
     }
 
 
+def cross_validate(matrix: DataFrame, cutoffs: Sequence[date], params: Params = Params()) -> DataFrame:
+    """Headline metrics per fold of cohorts: train on the cutoffs before, test on the next.
+
+    ``matrix`` holds several cutoffs and should be stored. There is one row per fold.
+    """
+    rows = []
+    key = ("customer_id", "cutoff_date")
+    for fold, (train, test) in enumerate(expanding_folds(matrix, cutoffs, params.evaluation.folds), start=1):
+        model = learning.fit(train, params, key)
+        scored = settle(learning.scores(model.pipeline, test))
+        flagged = scored.withColumn("churn_flag", (F.col("score") >= model.threshold).cast("int"))
+        numbers = headline({
+            "confusion": evaluation.confusion(flagged),
+            "ranking": evaluation.ranking_metrics(scored),
+            "lift": evaluation.lift_at_k(scored, params.evaluation.top_share),
+        })
+        rows.append((fold, *[numbers[name] for name in HEADLINE]))
+    return matrix.sparkSession.createDataFrame(rows, ", ".join(["fold int", *[f"{n} double" for n in HEADLINE]]))
+
+
 @dataclass(frozen=True)
 class Run:
     model: learning.TrainedModel
@@ -121,8 +146,6 @@ def train_and_evaluate(
     bundle: Bundle, params: Params, on_stop: str = "raise", fit_on: str = "all", accuracy: int | None = None
 ) -> Run:
     """Clean, build, check, split, fit, evaluate. A failed gate ends the run unless ``on_stop="go_on"``."""
-    from keepwell.sources.schemas import KEYS
-
     clean = clean_bundle(bundle, params, accuracy).bundle
     train, test = split_matrix(clean, params, fit_on, accuracy)
     reasons = gate_reasons(clean, train.unionByName(test), KEYS)

@@ -57,6 +57,12 @@ def latest_records(lineage: DataFrame) -> DataFrame:
     return lineage.groupBy("artifact").agg(newest).select("artifact", "_row.*")
 
 
+def as_manifest(records: DataFrame) -> DataFrame:
+    """(artifact, entry) with each record as a JSON text."""
+    rest = [c for c in records.columns if c != "artifact"]
+    return records.select("artifact", F.to_json(F.struct(*rest)).alias("entry"))
+
+
 def save_model(spark: SparkSession, model: TrainedModel, folder: str, metrics: dict[str, float] | None = None) -> str:
     """Save the pipeline and append a registry row; returns the model's path."""
     path = f"{folder}/models/churn_{model.version}"

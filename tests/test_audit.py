@@ -84,8 +84,8 @@ def matrix(spark, labels=(0, 1, 0, 1)):
 
 def test_missingness(spark):
     got = {r["column_name"]: tuple(r)[1:] for r in audit.missingness(matrix(spark)).collect()}
-    assert got["avg_delivery_days"] == (2, 50.0, "MAR", "median by order status", True)
-    assert got["monetary_total"] == (1, 25.0, "MCAR (default)", "median or mode", False)
+    assert got["avg_delivery_days"] == (2, 50.0, "MAR", "Imputación por mediana estratificada por order_status", True)
+    assert got["monetary_total"] == (1, 25.0, "MCAR (default)", "Imputación por mediana/moda", False)
     assert got["recency_days"][2] == "—" and "churn_label" not in got
     ranked = audit.missing_ranking(audit.missingness(matrix(spark))).collect()
     assert [r["column_name"] for r in ranked] == ["monetary_total", "avg_delivery_days"]
@@ -136,6 +136,10 @@ def test_profiles(spark):
     assert (described["a"]["p25"], described["a"]["p50"], described["a"]["std"]) == (1.75, 2.5, 1.291)
     corr = {(r["feature_a"], r["feature_b"]): r["correlation"] for r in profile.correlations(df, ["a", "b", "c"]).collect()}
     assert corr == {("a", "b"): 1.0, ("a", "c"): None, ("b", "c"): None}
+    gappy = df.withColumn("b", F.when(F.col("a") != 2, F.col("a") * F.col("a")))
+    pair = gappy.filter("b IS NOT NULL").toPandas()
+    row = profile.correlations(gappy, ["a", "b"]).first()
+    assert row["correlation"] == pytest.approx(pair["a"].corr(pair["b"]), abs=1e-6)
     shares = {r["churn_label"]: r["class_share"] for r in profile.class_balance(df).collect()}
     assert shares == {0: 0.5, 1: 0.5}
 

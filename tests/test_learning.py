@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from keepwell.operators import learning
 from keepwell.operators.neighbours import nearest_neighbours
 from keepwell.operators.smote import smote, synthetic_count
-from keepwell.params import NUMERIC_FEATURES, Boosting, Oversampling, Params
-from keepwell.plans.training import full_evaluation, headline, split_matrix, train_and_evaluate
+from keepwell.params import NUMERIC_FEATURES, Boosting, Evaluation, Oversampling, Params
+from keepwell.plans.training import cross_validate, full_evaluation, headline, split_matrix, train_and_evaluate
 from keepwell.session import settle
 from keepwell.sources import lineage
 from keepwell.sources.retail import CUTOFF, Retail
@@ -132,6 +132,16 @@ def test_whole_run(spark, folder):
     assert run.reports["importance"].count() <= 15
 
 
+def test_cross_validation(spark):
+    from datetime import date
+
+    days = [date(2023, m, 1) for m in (1, 2, 3)]
+    cohorts = settle(matrix(spark).crossJoin(spark.createDataFrame([(d,) for d in days], "cutoff_date date")))
+    got = cross_validate(cohorts, days, FAST.at(evaluation=Evaluation(folds=2))).collect()
+    assert [r["fold"] for r in got] == [1, 2]
+    assert all(r["auc_roc"] > 0.8 for r in got)
+
+
 def test_medians_fitted_on_train_only(spark, folder):
     bundle = Retail(spark, folder).bundle()
     both = [split_matrix(bundle, FAST, fit_on=mode) for mode in ("all", "train")]

@@ -139,6 +139,15 @@ def test_fingerprint_ignores_order_and_sees_repeats(spark):
     assert lineage.fingerprint(df.limit(0)).first()["fingerprint"] == "0"
 
 
+def test_manifest(spark):
+    import json
+
+    df = star.labels(spark, ("A", "2023-01-01", 1), ("B", "2023-01-01", 0))
+    row = lineage.as_manifest(lineage.lineage_record(df, "labels", "p", date(2023, 1, 1))).first()
+    entry = json.loads(row["entry"])
+    assert (row["artifact"], entry["rows"], entry["churn_rate"], entry["cutoff_date"]) == ("labels", 2, 0.5, "2023-01-01")
+
+
 def test_cluster_without_a_named_folder(monkeypatch):
     class Conf:
         def get(self, *_):
