@@ -110,6 +110,15 @@ def scores(model: PipelineModel, features: DataFrame) -> DataFrame:
     return model.transform(features).withColumn("score", vector_to_array("probability")[1]).drop(*added)
 
 
+# Tree training runs a job per level; below this many rows a partition is not worth a task.
+ROWS_PER_TASK = 20_000
+
+
+def _few_partitions(stored: DataFrame) -> DataFrame:
+    """The stored rows in no more partitions than they fill."""
+    return stored.coalesce(max(1, stored.count() // ROWS_PER_TASK))
+
+
 def fit(
     train: DataFrame,
     params: Params = Params(),
@@ -128,7 +137,7 @@ def fit(
     weighted = oversampled(encoded, key, params.oversampling).withColumn(
         "_weight", F.when(F.col(LABEL) == 1, F.lit(float(weight))).otherwise(F.lit(1.0))
     )
-    boosted = classifier(params.boosting, params.seed).fit(settle(weighted))
+    boosted = classifier(params.boosting, params.seed).fit(_few_partitions(settle(weighted)))
     pipeline = PipelineModel(stages=[*encoder.stages, boosted])
     threshold = best_threshold(scores(pipeline, train if tune_on is None else tune_on), params.threshold)
     version = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")

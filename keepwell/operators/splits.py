@@ -11,12 +11,18 @@ from keepwell.operators.ranking import with_position
 
 
 def with_holdout(matrix: DataFrame, train_share: float = 0.80, key: Sequence[str] = ("customer_id",)) -> DataFrame:
-    """Column ``split``: the first ``int(train_share * n)`` rows by key are ``train``, the rest ``test``."""
-    placed = with_position(matrix, *[F.asc(c) for c in key])
+    """Column ``split``: the first ``int(train_share * n)`` rows by ``key``, which is unique, are ``train``.
+
+    Only the keys are ranked, to find the last one of the training part; the rows stay where they are.
+    """
+    placed = with_position(matrix.select(*key), *[F.asc(c) for c in key])
     edge = F.floor(F.col("total_rows") * F.lit(float(train_share)))
-    return placed.withColumn("split", F.when(F.col("position") < edge, "train").otherwise("test")).drop(
-        "position", "total_rows"
-    )
+    last = placed.filter(F.col("position") == edge - 1).select(*key).first()
+    if last is None:
+        return matrix.withColumn("split", F.lit("test"))
+    types = {f.name: f.dataType for f in matrix.schema.fields}
+    bound = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in key])
+    return matrix.withColumn("split", F.when(F.struct(*key) <= bound, "train").otherwise("test"))
 
 
 def with_cutoff_split(matrix: DataFrame, test_from: date) -> DataFrame:

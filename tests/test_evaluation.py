@@ -130,6 +130,10 @@ def test_holdout_and_folds(spark):
     df = spark.createDataFrame([(f"C{i:02d}", i % 2) for i in range(11)], "customer_id string, churn_label int")
     got = {r["customer_id"]: r["split"] for r in splits.with_holdout(df).collect()}
     assert sorted(c for c, s in got.items() if s == "test") == ["C08", "C09", "C10"]
+    assert {r["split"] for r in splits.with_holdout(df.limit(1)).collect()} == {"test"}
+    pairs = spark.createDataFrame([(a, b) for a in (2, 1) for b in (3, 1, 2)], "a int, b int")
+    first = splits.with_holdout(pairs, 0.7, ("a", "b")).filter("split = 'train'").drop("split")
+    assert sorted(map(tuple, first.collect())) == [(1, 1), (1, 2), (1, 3), (2, 1)]
     from datetime import date
 
     days = [date(2023, m, 1) for m in (1, 2, 3)]
