@@ -18,12 +18,3 @@ def monday_number(day: Column) -> Column:
     """Count of Mondays up to ``day``; equal for the days of one ISO week."""
     return F.floor(F.datediff(day, F.lit(A_MONDAY)) / 7).cast("int")
 
-
-def week_key(day: Column) -> Column:
-    """Calendar year * 100 + ISO week. Around 1 January the key does not follow the calendar."""
-    return F.year(day) * 100 + F.weekofyear(day)
-
-
-def iso_week_key(day: Column) -> Column:
-    """ISO year * 100 + ISO week, which does follow the calendar."""
-    return F.extract(F.lit("YEAROFWEEK"), day).cast("int") * 100 + F.weekofyear(day)

@@ -20,7 +20,7 @@ def clip(value: Column, low: float, high: float) -> Column:
 
 
 def as_null(value: Column) -> Column:
-    """NaN becomes NULL, so that one marker of absence is left."""
+    """NULL in place of NaN."""
     return F.when(~F.isnan(value), value)
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 # Distinct values of one column and group that one task may sort.
 SORTABLE = 200_000
+# Groups whose ranks the driver keeps.
+MAX_GROUPS = 1_000
 # Edges that a sketch proposes per step, and its accuracy.
 EDGES = 500
 SKETCH = 5_000
@@ -134,7 +136,10 @@ def exact_quantiles(
     columns = list(wanted)
 
     def per_group(*aggregates):
-        return (df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)).collect()
+        rows = (df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)).limit(MAX_GROUPS + 1).collect()
+        if len(rows) > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} groups of {list(by)}")
+        return rows
 
     fit: Fit = {}
     ranks: dict[tuple, _Rank] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
 
@@ -91,3 +92,48 @@ class Params:
 
     def at(self, **changes) -> "Params":
         return replace(self, **changes)
+
+    @classmethod
+    def from_config(cls, config: Mapping[str, Mapping]) -> "Params":
+        """Parameters from a parsed configuration file; absent entries keep their defaults."""
+
+        def section(name: str, *path: str) -> Mapping:
+            part = config.get(name) or {}
+            for step in path:
+                part = part.get(step) or {}
+            return part
+
+        def known(part: Mapping, **names: str) -> dict:
+            return {own: part[theirs] for own, theirs in names.items() if theirs in part}
+
+        boosting = known(
+            section("model", "hyperparams"),
+            trees="n_estimators", depth="max_depth", learning_rate="learning_rate", row_share="subsample",
+            column_share="colsample_bytree", min_rows_per_leaf="min_child_weight",
+        )
+        oversampling = known(
+            section("model", "smote"), ratio="sampling_strategy", neighbours="k_neighbors", seed="random_state"
+        )
+        threshold = known(
+            section("model", "threshold"),
+            min_recall="min_recall", min_precision="min_precision", start="grid_start", end="grid_end", step="grid_step",
+        )
+        evaluation = known(
+            section("evaluation"),
+            bootstrap_iterations="bootstrap_iterations", bootstrap_alpha="bootstrap_alpha", folds="cv_folds",
+        )
+        whole = known(
+            section("temporal"),
+            cutoff="cutoff_date", observation_days="observation_window_days", prediction_days="prediction_window_days",
+        )
+        whole |= known(section("project"), seed="random_seed", pipeline_version="version")
+        whole |= {
+            "cleaning": Cleaning(**known(section("etl"), null_threshold="null_threshold", iqr_factor="iqr_factor")),
+            "boosting": Boosting(**boosting),
+            "oversampling": Oversampling(**oversampling),
+            "threshold": ThresholdSearch(**threshold),
+            "evaluation": Evaluation(**evaluation),
+        }
+        if isinstance(whole.get("cutoff"), str):
+            whole["cutoff"] = date.fromisoformat(whole["cutoff"])
+        return cls(**whole)

@@ -16,6 +16,7 @@ def build_session(app: str = "keepwell", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.checkpoint.compress": "true",
         # Recording the Python line of every expression makes wide plans slow to build.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     } | conf

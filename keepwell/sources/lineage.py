@@ -5,7 +5,8 @@ from __future__ import annotations
 from datetime import date, datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from keepwell.operators.learning import TrainedModel
 
@@ -64,25 +65,33 @@ def as_manifest(records: DataFrame) -> DataFrame:
 
 
 def save_model(spark: SparkSession, model: TrainedModel, folder: str, metrics: dict[str, float] | None = None) -> str:
-    """Save the pipeline and append a registry row; returns the model's path."""
+    """Save the pipeline with a record of it, and append that record to the registry; returns the model's path."""
     path = f"{folder}/models/churn_{model.version}"
-    model.pipeline.write().overwrite().save(path)
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
     row = (
         model.version, path, model.threshold, list(model.features),
         {k: float(v) for k, v in model.facts.items()},
         {k: float(v) for k, v in (metrics or {}).items() if v is not None},
         datetime.now(timezone.utc),
     )
-    spark.createDataFrame([row], REGISTRY).write.mode("append").parquet(f"{folder}/registry")
+    entry = spark.createDataFrame([row], REGISTRY)
+    entry.write.mode("overwrite").parquet(f"{path}/record")
+    entry.write.mode("append").parquet(f"{folder}/registry")
     return path
 
 
+def _newest(spark: SparkSession, path: str) -> Row | None:
+    try:
+        entries = spark.read.schema(REGISTRY).parquet(path)
+    except AnalysisException:
+        return None
+    return entries.orderBy(F.desc("version"), F.desc("recorded_at")).first()
+
+
 def load_latest_model(spark: SparkSession, folder: str) -> TrainedModel:
-    """The registered model of the highest version."""
-    registry = spark.read.schema(REGISTRY).parquet(f"{folder}/registry")
-    row = registry.orderBy(F.desc("version"), F.desc("recorded_at")).first()
+    """The model of the highest registered version; without a registry, of the highest version saved."""
+    row = _newest(spark, f"{folder}/registry") or _newest(spark, f"{folder}/models/*/record")
     if row is None:
-        raise FileNotFoundError(f"no model registered in {folder}")
-    return TrainedModel(
-        PipelineModel.load(row["path"]), row["threshold"], row["version"], tuple(row["features"]), dict(row["facts"])
-    )
+        raise FileNotFoundError(f"no model saved in {folder}")
+    pipeline = PipelineModel.load(f"{row['path']}/pipeline")
+    return TrainedModel(pipeline, row["threshold"], row["version"], tuple(row["features"]), dict(row["facts"]))

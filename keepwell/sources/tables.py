@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from keepwell.functions.numeric import as_null
 from keepwell.params import Params
 from keepwell.sources.schemas import schema_of
 
@@ -27,7 +28,9 @@ class Bundle:
 
 
 def scan(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.schema(schema_of(table)).parquet(f"{root}/{table}")
+    """A stored table with its declared types. NaN becomes NULL, so that one marker of absence is left."""
+    rows = spark.read.schema(schema_of(table)).parquet(f"{root}/{table}")
+    return rows.select(*[as_null(F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in rows.dtypes])
 
 
 def between_dates(df: DataFrame, column: str, start: date | None = None, end: date | None = None) -> DataFrame:

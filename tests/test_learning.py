@@ -1,3 +1,5 @@
+import shutil
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -120,6 +122,10 @@ def test_fit_score_register_and_load(spark, tmp_path):
     again = lineage.load_latest_model(spark, str(tmp_path))
     assert (again.version, again.threshold) == (model.version, model.threshold)
     assert sorted(map(tuple, learning.score(df, again).collect())) == sorted(map(tuple, out.collect()))
+    shutil.copytree(tmp_path / "models", tmp_path / "unregistered" / "models")
+    assert lineage.load_latest_model(spark, str(tmp_path / "unregistered")).version == model.version
+    with pytest.raises(FileNotFoundError):
+        lineage.load_latest_model(spark, str(tmp_path / "nothing"))
     with pytest.raises(ValueError, match="recency_days"):
         learning.score(df.drop("recency_days"), model)
 

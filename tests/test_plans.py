@@ -102,6 +102,12 @@ def test_star_schema_on_disk(spark, tmp_path):
     assert items.columns == ["order_id", "product_id", "quantity", "unit_price", "category", "subcategory"]
 
 
+def test_scan_knows_one_marker_of_absence(spark, tmp_path):
+    rows = star.orders(spark, ("A", "C", "2023-01-05", None, "COMPLETED", float("nan")))
+    rows.write.parquet(f"{tmp_path}/fact_orders")
+    assert scan(spark, str(tmp_path), "fact_orders").first()["total_amount"] is None
+
+
 def test_every_schema_parses():
     for table in COLUMNS:
         assert set(KEYS.get(table, ())) <= set(schema_of(table).fieldNames())
@@ -139,6 +145,22 @@ def test_fingerprint_ignores_order_and_sees_repeats(spark):
     assert lineage.fingerprint(df.limit(0)).first()["fingerprint"] == "0"
 
 
+def test_parameters_from_configuration():
+    config = {
+        "temporal": {"cutoff_date": "2023-09-30", "prediction_window_days": 60},
+        "etl": {"iqr_factor": 3.0},
+        "model": {"hyperparams": {"n_estimators": 50}, "smote": {"k_neighbors": 3}, "threshold": {"grid_end": 0.5}},
+        "evaluation": {"cv_folds": 4},
+        "project": {"random_seed": 1},
+    }
+    got = Params.from_config(config)
+    assert (got.cutoff, got.prediction_days, got.observation_days, got.seed) == (date(2023, 9, 30), 60, 90, 1)
+    assert (got.cleaning.iqr_factor, got.cleaning.null_threshold) == (3.0, 0.4)
+    assert (got.boosting.trees, got.boosting.depth, got.oversampling.neighbours) == (50, 6, 3)
+    assert (got.threshold.end, got.evaluation.folds) == (0.5, 4)
+    assert Params.from_config({}) == Params()
+
+
 def test_manifest(spark):
     import json
 

@@ -44,3 +44,11 @@ def test_groups_and_absent_values(spark):
 def test_sketch(spark):
     df = frame(spark, range(1001))
     assert quantiles(df, {"x": [0.5]}, accuracy=10_000)[()]["x"][0.5] == pytest.approx(500, abs=1)
+
+
+def test_too_many_groups_are_refused(spark, monkeypatch):
+    from keepwell.operators import quantiles as module
+
+    monkeypatch.setattr(module, "MAX_GROUPS", 2)
+    with pytest.raises(ValueError, match="more than 2 groups"):
+        exact_quantiles(frame(spark, [1, 2, 3], ["a", "b", "c"]), {"x": [0.5]}, ["g"])
