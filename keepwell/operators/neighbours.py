@@ -109,8 +109,16 @@ def _closest(asked_ids, asked, known_ids, known, k: int) -> Iterator[tuple[np.nd
         squares = _squares(asked[block], known)
         squares[asked_ids[block, None] == known_ids[None, :]] = np.inf
         take = min(k, squares.shape[1])
-        order = np.argsort(squares, axis=1, kind="stable")[:, :take]
-        yield np.arange(at, at + len(squares)), known_ids[order], np.take_along_axis(squares, order, axis=1)
+        reach = np.partition(squares, take - 1, axis=1)[:, take - 1]
+        row, column = np.nonzero(squares <= reach[:, None])
+        found = squares[row, column]
+        # Columns stand in the order of the ids, so equal distances fall to the smaller id.
+        order = np.lexsort((column, found, row))
+        row, column, found = row[order], column[order], found[order]
+        first = np.searchsorted(row, np.arange(len(squares)))
+        kept = np.arange(len(row)) - first[row] < take
+        shape = (len(squares), take)
+        yield np.arange(at, at + len(squares)), known_ids[column[kept]].reshape(shape), found[kept].reshape(shape)
 
 
 def _frame(key: str, asked_ids, hits) -> Iterator[pd.DataFrame]:
