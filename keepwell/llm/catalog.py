@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keepwell.llm import line_dedup, simhash
+from keepwell.llm import bpe, line_dedup, quality_rules, simhash, token_counts
 
 QUERIES = {}
 ORACLE = {}
@@ -27,6 +28,25 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(_table(spark, folder, "documents", "doc_id", "text"), ["doc_id"])
+    return judged.drop("rejected_by")
+
+
+@_query
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), 4096)
+
+
+@_query
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    automaton = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    encoded = bpe.encode(_table(spark, folder, "documents", "doc_id", "text"), automaton).drop("text")
+    return bpe.digests(bpe.decode(encoded, automaton), "doc_id")
+
+
 @_query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.drop_shared_lines(_table(spark, folder, "documents", "doc_id", "text"))
@@ -53,3 +73,38 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY r, doc_id
 """
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE["op2_quality_rules"] = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents
+), windows AS (
+    SELECT r, i, array_to_string(words[i:i + 7], ' ') AS w
+    FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM docs)
+), repeated AS (
+    SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1
+), covered AS (
+    SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM repeated) GROUP BY r
+), lines AS (
+    SELECT r, count(line) FILTER (WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) AS worded,
+           count(DISTINCT line) FILTER (WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) AS different, count(*) AS n
+    FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs) GROUP BY r
+), base AS (
+    SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, worded - different AS n_dup_lines,
+           coalesce(c.n, 0) AS n_repeat_words, l.n AS n_lines,
+           length(regexp_replace(text, '[^!]+', '', 'g')) AS n_shouts,
+           length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')) AS n_capitals,
+           length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) AS n_letters,
+           len(list_filter(words, lambda w: NOT regexp_matches(w, '\p{{L}}'))) AS n_wordless
+    FROM docs JOIN lines l USING (r) LEFT JOIN covered c USING (r)
+), judged AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * n_symbols > 3 * n_words
+            OR 10 * n_dup_lines > 3 * n_lines OR 10 * n_shouts > 5 * n_words OR 10 * n_capitals > 5 * word_chars
+            OR 10 * n_letters < 5 * word_chars OR 10 * n_wordless > 4 * n_words) AS kept
+FROM judged
+"""

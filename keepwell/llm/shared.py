@@ -50,6 +50,16 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def filtered(df: DataFrame, condition: str) -> DataFrame:
+    """The rows that meet ``condition``, decided after the projections below and not inside them.
+
+    A filter over a computed column is otherwise pushed down with its expression copied in, and an array that an
+    inner function reads is then built again for each of its elements. Row ids are not deterministic, which holds it.
+    """
+    held = df.withColumn("_held", F.monotonically_increasing_id())
+    return held.filter(F.expr(condition) & (F.col("_held") >= 0)).drop("_held")
+
+
 def words_of(text: Column) -> Column:
     """Array of the words of a text, in order; none for a null or blank text."""
     trimmed = F.btrim(text, F.lit(SPACE))
