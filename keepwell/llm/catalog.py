@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keepwell.llm import bpe, line_dedup, quality_rules, simhash, token_counts
+from keepwell.llm import bpe, line_dedup, minhash, quality_rules, simhash, token_counts, warc
 
 QUERIES = {}
 ORACLE = {}
@@ -55,6 +55,19 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.fingerprints_with_edits(_table(spark, folder, "documents", "doc_id", "text"))
+    shown = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(shown)
+
+
+@_query
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.archive(spark, _table(spark, folder, "pages", "page_id", "url", "html"), min_bytes=0)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 _STRIP = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -76,7 +89,7 @@ FROM marked GROUP BY r, doc_id
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
-ORACLE["op2_quality_rules"] = f"""
+ORACLE["op2_quality_rules"] = rf"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents
 ), windows AS (
@@ -108,3 +121,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 10 * n_letters < 5 * word_chars OR 10 * n_wordless > 4 * n_words) AS kept
 FROM judged
 """
+
+ORACLE["op10_warc"] = """
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digests AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, unhex(sha1(payload))::BIT::VARCHAR AS bits FROM payloads
+), named AS (
+    SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda k: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5), lambda b:
+            CASE WHEN substr(bits, (5 * k + b + 1)::INT, 1) = '1' THEN (16 >> b::INT) ELSE 0 END))::INT, 1
+    )), 'string_agg', '') AS payload_digest
+    FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = min(page_id) OVER (PARTITION BY payload_digest) THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> min(page_id) OVER (PARTITION BY payload_digest)
+            THEN min(page_id) OVER (PARTITION BY payload_digest) END AS refers_to
+FROM named
+"""
