@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keepwell.llm import bpe, line_dedup, minhash, quality_rules, simhash, token_counts, warc
+from keepwell.llm import bpe, classifier, line_dedup, minhash, mixing, quality_rules, sharding, simhash, token_counts, warc
 
 QUERIES = {}
 ORACLE = {}
@@ -34,12 +34,22 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("rejected_by")
 
 
+@_query
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.draws(_table(spark, folder, "documents", "doc_id", "text", "source"), repetition_limit=1.5)
+
+
 @_query
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents", "doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), 4096)
 
 
+@_query
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, folder, "documents", "doc_id", "text"), 8)
+
+
 @_query
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     automaton = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
@@ -47,6 +57,15 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, automaton), "doc_id")
 
 
+@_query
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents", "doc_id", "text", "source", "lang")
+    labels = _table(spark, folder, "labels", "doc_id", "quality")
+    found = classifier.classify(docs, labels, F.col("source"), F.col("lang"))
+    numbers = ("score", "host_posterior", "path_posterior", "quality")
+    return found.withColumns({c: F.round(c, 6) for c in numbers})
+
+
 @_query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.drop_shared_lines(_table(spark, folder, "documents", "doc_id", "text"))
