@@ -136,7 +136,7 @@ WITH docs AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * n_symbols > 3 * n_words
-            OR 10 * n_dup_lines > 3 * n_lines OR 10 * n_shouts > 5 * n_words OR 10 * n_capitals > 5 * word_chars
+            OR 10 * n_dup_lines > 5 * n_lines OR 10 * n_shouts > 5 * n_words OR 10 * n_capitals > 5 * word_chars
             OR 10 * n_letters < 5 * word_chars OR 10 * n_wordless > 4 * n_words) AS kept
 FROM judged
 """

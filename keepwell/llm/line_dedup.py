@@ -111,3 +111,15 @@ def drop_shared_lines(
         F.when(F.col("_stays").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("_stays")).cast("long").alias("n_dropped"),
         F.when(F.col("_stays").isNull(), text).otherwise(F.array_join("_stays", "\n")).alias("kept_text"),
     )
+
+
+def without_shared_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """Documents with the kept lines as their text and, where there is such a column, ``n_chars`` to match.
+
+    A document that loses no line stays as it is, a null text too; one that loses all of them has an empty text.
+    """
+    kept = drop_shared_lines(docs, min_docs, min_chars)
+    text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("row.text"))
+    chars = F.when(F.col("n_dropped") > 0, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None
+    changed = {"text": text, "n_chars": chars}
+    return kept.select(*[(changed.get(c) if c in changed else F.col("row")[c]).alias(c) for c in docs.columns])

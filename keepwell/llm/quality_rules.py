@@ -40,7 +40,7 @@ def _count(pattern: str) -> Column:
 RULES = (
     Rule("mean_word_length", lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words"))),
     Rule("symbols", lambda: 10 * F.col("n_symbols") > 3 * F.col("n_words")),
-    Rule("duplicate_lines", lambda: 10 * F.col("n_dup_lines") > 3 * F.size(F.split("text", "\n", -1))),
+    Rule("duplicate_lines", lambda: 10 * F.col("n_dup_lines") > 5 * F.size(F.split("text", "\n", -1))),
     Rule("exclamations", lambda: 10 * _count("[^!]+") > 5 * F.col("n_words")),
     Rule("capitals", lambda: 10 * _count(r"[^\p{Lu}]+") > 5 * F.col("word_chars")),
     Rule("letters", lambda: 10 * _count(r"[^\p{L}]+") < 5 * F.col("word_chars")),
