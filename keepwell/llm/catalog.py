@@ -159,3 +159,45 @@ SELECT page_id, payload_bytes, payload_digest,
             THEN min(page_id) OVER (PARTITION BY payload_digest) END AS refers_to
 FROM named
 """
+
+ORACLE["op3_mixing"] = rf"""
+WITH RECURSIVE measured AS (
+    SELECT doc_id, source, greatest(len({_WORDS}), 1)::BIGINT AS tokens FROM documents
+), sources AS (
+    SELECT source, sum(tokens)::BIGINT AS pass, sum(tokens) / (SELECT sum(tokens) FROM measured)::DOUBLE AS share
+    FROM measured GROUP BY source
+), ends AS (
+    SELECT min(share) AS small, max(share) AS large FROM sources
+), halving(step, low, high) AS (
+    SELECT 0, 0::DOUBLE, CASE WHEN 1 / small <= 1.5 / large THEN 0 ELSE 1 END::DOUBLE FROM ends
+    UNION ALL
+    SELECT step + 1, CASE WHEN fits THEN low ELSE middle END, CASE WHEN fits THEN middle ELSE high END
+    FROM (SELECT *, pow(small, middle) / small <= 1.5 * (pow(large, middle) / large) AS fits
+          FROM (SELECT *, (low + high) / 2 AS middle FROM halving, ends WHERE step < 20))
+), powers AS (
+    SELECT source, pass, pow(share, (SELECT high FROM halving WHERE step = 20)) / share AS power FROM sources
+), budgets AS (
+    SELECT source, pass, round(power / (SELECT min(power) FROM powers) * pass)::BIGINT AS budget FROM powers
+), planned AS (
+    SELECT source, pass, budget, budget // pass AS epochs, budget % pass AS rest,
+           round(budget / (SELECT sum(budget) FROM budgets)::DOUBLE, 9) AS weight,
+           greatest(ceil((SELECT sum(budget) FROM budgets) / 65536), 1)::BIGINT AS blocks
+    FROM budgets
+), epochs AS (
+    SELECT *, unnest(range(epochs + 1)) AS epoch FROM planned
+), passes AS (
+    SELECT doc_id, source, tokens, weight, budget, blocks, pass, epoch, epoch = epochs AS ending, rest,
+           md5('17:' || epoch || ':' || doc_id) AS key
+    FROM measured JOIN epochs USING (source)
+), ranked AS (
+    SELECT *, coalesce(sum(tokens) OVER (
+        PARTITION BY source, epoch ORDER BY key, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+    FROM passes
+), drawn AS (
+    SELECT *, least(floor((epoch * pass + before)::BIGINT / budget * blocks), blocks - 1)::BIGINT AS block
+    FROM ranked WHERE NOT ending OR before < rest
+)
+SELECT doc_id, source, tokens, weight, epoch::BIGINT AS epoch, block,
+       row_number() OVER (PARTITION BY block ORDER BY md5(key || ':' || source), tokens, doc_id) - 1 AS place
+FROM drawn
+"""
