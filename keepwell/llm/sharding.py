@@ -3,7 +3,7 @@
 Documents with equal texts are linked through the text they share. Labels are shards. At first linked documents are
 dealt out evenly; then rounds of joins and aggregates move them:
 
-1. every text counts its documents in each shard and chooses the shard that holds most of them;
+1. every text counts its documents in each shard and chooses one: with room for all of them, and then where most are;
 2. documents elsewhere ask to move there. For each pair of shards the driver sees two numbers, the requests there and
    back, and sets a quota: what can be swapped, and what the receiving shard has room for;
 3. requests are granted up to the quota, greatest gain first.
@@ -26,15 +26,26 @@ ROUNDS = 12
 _BINS = 256
 
 
-def _asks(cells: DataFrame, shards: int) -> DataFrame:
-    """Requests ``(key, label, n, target, gain)`` of the cells that are not in the shard their text has chosen."""
-    # Texts with even counts choose by their hash, so that ties do not all fall to one shard.
-    turn = -F.pmod(F.col("label") - F.xxhash64("key"), F.lit(shards))
-    best = cells.groupBy("key").agg(F.max(F.struct("n", turn.alias("turn"), "label")).alias("best"))
+def _asks(cells: DataFrame, room: list[int]) -> DataFrame:
+    """Requests ``(key, label, n, target, gain)`` of the cells that are not in the shard their text has chosen.
+
+    A text prefers shards with room for all its documents, then the one that holds most. Equal ones are told apart by
+    the hash of the text, so that ties do not all fall to one shard. A text has one count for each shard at most.
+    """
+    held = cells.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("held"))
+    copies = F.aggregate(F.map_values("held"), F.lit(0).cast("long"), lambda s, x: s + x)
+    rooms = F.array(*[F.lit(r).cast("long") for r in room])
+
+    def choice(shard):
+        n = F.coalesce(F.element_at("held", shard), F.lit(0).cast("long"))
+        turn = -F.pmod(shard - F.xxhash64("key"), F.lit(len(room)))
+        return F.struct((F.get(rooms, shard) >= F.col("copies") - n).alias("fits"), n.alias("n"), turn.alias("turn"), shard.alias("label"))
+
+    shards = F.sequence(F.lit(0), F.lit(len(room) - 1))
+    chosen = held.withColumn("copies", copies).withColumn("best", F.array_max(F.transform(shards, choice)))
     return (
-        cells.join(best, "key")
-        .filter("label != best.label")
-        .select("key", "label", "n", F.col("best.label").alias("target"), (F.col("best.n") - F.col("n")).alias("gain"))
+        chosen.select("key", "best", F.explode("held").alias("label", "n")).filter("label != best.label")
+        .select("key", "label", "n", F.col("best.label").alias("target"), F.greatest(F.col("best.n") - F.col("n"), F.lit(0)).alias("gain"))
     )
 
 
@@ -77,7 +88,7 @@ def propagate(cells: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> Da
     for _ in range(rounds):
         loads = {r.label: r.n for r in cells.groupBy("label").agg(F.sum("n").alias("n")).collect()}
         room = [capacity[s] - loads.get(s, 0) for s in range(shards)]
-        asks = stored(_asks(cells, shards), "asks")
+        asks = stored(_asks(cells, room), "asks")
         wishes = asks.groupBy("label", "target").agg(F.sum("n").alias("n")).collect()
         quotas = _quotas({(r.label, r.target): r.n for r in wishes}, room)
         if not any(quotas.values()):
