@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -14,6 +14,7 @@ from keepwell.params import MATRIX_NUMERIC, Params
 from keepwell.plans.matrix import assemble, fit_medians, impute
 from keepwell.session import settle, shared_folder
 from keepwell.sources.retail import CUTOFF, EVENT_SHIFT_DAYS, Retail
+from keepwell.sources.tables import Bundle
 
 EARLIER = date(1997, 3, 31)
 COHORTS = (date(1996, 12, 31), EARLIER, CUTOFF)
@@ -25,8 +26,18 @@ YEAR = MONTH.at(prediction_days=365)
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
+def window_of(params: Params, cutoffs: Sequence[date] | None = None) -> tuple[date, date]:
+    """The days that features and labels of the cutoffs see."""
+    days = list(cutoffs or [params.cutoff])
+    return min(days) - timedelta(days=params.observation_days), max(days) + timedelta(days=params.prediction_days)
+
+
+def bundle_of(spark: SparkSession, folder: str, params: Params = MONTH, cutoffs: Sequence[date] | None = None) -> Bundle:
+    return Retail(spark, folder).bundle(params.cutoff, window_of(params, cutoffs))
+
+
 def raw_matrix(spark: SparkSession, folder: str, params: Params = MONTH, cutoffs: Sequence[date] | None = None) -> DataFrame:
-    return assemble(Retail(spark, folder).bundle(params.cutoff), params, cutoffs)
+    return assemble(bundle_of(spark, folder, params, cutoffs), params, cutoffs)
 
 
 def matrices(
@@ -140,7 +151,8 @@ def matrix_tables(params: Params = MONTH, cutoffs: Sequence[date] | None = None)
     days, ahead = params.observation_days, params.prediction_days
     numbers = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MATRIX_NUMERIC)
     middles = ", ".join(f"median({c}) AS {c}" for c in MATRIX_NUMERIC)
-    filled = ", ".join(f"coalesce(r.{c}, m.{c}) AS {c}" for c in MATRIX_NUMERIC)
+    last = {"support_tickets_90d": ", 0"}
+    filled = ", ".join(f"coalesce(r.{c}, m.{c}{last.get(c, '')}) AS {c}" for c in MATRIX_NUMERIC)
     return {
         "cutoffs": f"SELECT * FROM (VALUES {listed}) AS v(cutoff_date)",
         "window_orders": f"""

@@ -9,7 +9,7 @@ from keepwell.catalog.base import (
 )
 from keepwell.operators import features as feats
 from keepwell.operators.audit import stack
-from keepwell.operators.constraints import insert_if_absent, with_defaults
+from keepwell.operators.constraints import insert_if_absent, require_columns, require_rows, with_defaults
 from keepwell.params import MATRIX_NUMERIC
 from keepwell.plans.matrix import feature_matrix
 from keepwell.plans.training import clean_feature_matrix, labelled
@@ -82,7 +82,39 @@ def lineage_latest(spark, folder):
 
 
 def dataset_fingerprint(spark, folder):
-    return lineage.fingerprint(Retail(spark, folder).orders)
+    """Rows and fingerprint of the orders; amounts as decimals, which all engines write alike."""
+    orders = Retail(spark, folder).orders
+    return lineage.fingerprint(orders.select(
+        "order_id", "customer_id", "order_date", "delivery_date", "order_status", F.col("total_amount").cast("decimal(18,2)")
+    ))
+
+
+def manifest(spark, folder):
+    """The record of the matrix as JSON text, written, read and parsed again."""
+    whole = settle(matrix(spark, folder))
+    path = scratch(spark, "manifest")
+    lineage.as_manifest(lineage.lineage_record(whole, "feature_matrix", "matrix", CUTOFF)).write.parquet(path)
+    return lineage.from_manifest(spark.read.parquet(path)).select(
+        "artifact", "path", "rows", F.size("columns").alias("n_columns"),
+        F.round("churn_rate", 6).alias("churn_rate"), "cutoff_date",
+    )
+
+
+def required_columns(spark, folder):
+    """What the checks before a run say: of an empty table, and of one without a column."""
+    whole = Retail(spark, folder).orders_head
+    said = []
+    for name, check in (
+        ("whole", lambda: (require_rows(whole), require_columns(whole, ["order_id", "order_date"]))),
+        ("empty", lambda: require_rows(whole.filter("order_id < 0"))),
+        ("without a column", lambda: require_columns(whole.drop("order_date"), ["order_id", "order_date"])),
+    ):
+        try:
+            check()
+            said.append((name, True))
+        except ValueError:
+            said.append((name, False))
+    return spark.createDataFrame(said, "input string, passed boolean")
 
 
 LINE_ORDER = ["product_id", "quantity", "unit_price"]
@@ -199,6 +231,8 @@ QUERIES = {
     "feature_store_roundtrip": feature_store_roundtrip,
     "lineage_latest": lineage_latest,
     "dataset_fingerprint": dataset_fingerprint,
+    "manifest": manifest,
+    "required_columns": required_columns,
     "insert_if_absent": insert_new_lines,
     "column_defaults": column_defaults,
     "observed_orders": observed_orders,
@@ -272,6 +306,20 @@ ORACLE = {
                   WHERE created_date BETWEEN DATE '{START}' AND DATE '{END}'"""),
     "feature_preview": sql(matrix_select() + " ORDER BY customer_id LIMIT 10"),
     "feature_store_roundtrip": sql(matrix_select() + f" WHERE cutoff_date = DATE '{CUTOFF}'", cutoffs=COHORTS),
+    "dataset_fingerprint": sql("""
+        SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(md5(concat_ws('|',
+                   coalesce(CAST(customer_id AS VARCHAR), '\\N'), coalesce(CAST(delivery_date AS VARCHAR), '\\N'),
+                   coalesce(CAST(order_date AS VARCHAR), '\\N'), coalesce(CAST(order_id AS VARCHAR), '\\N'),
+                   coalesce(order_status, '\\N'), coalesce(CAST(CAST(total_amount AS DECIMAL(18, 2)) AS VARCHAR), '\\N')
+               )), 1, 15) AS BIGINT)) AS VARCHAR) AS fingerprint
+        FROM fact_orders"""),
+    "manifest": sql(f"""
+        SELECT 'feature_matrix' AS artifact, 'matrix' AS path, count(*) AS rows, CAST(17 AS INTEGER) AS n_columns,
+               round(avg(churn_label), 6) AS churn_rate, DATE '{CUTOFF}' AS cutoff_date
+        FROM matrix"""),
+    "required_columns": sql("""
+        SELECT 'whole' AS input, count(*) > 0 AS passed FROM orders_head
+        UNION ALL SELECT 'empty', false UNION ALL SELECT 'without a column', false"""),
     "lineage_latest": sql(f"""
         SELECT 'feature_matrix' AS artifact, 'second' AS path, count(*) AS rows, CAST(17 AS INTEGER) AS n_columns,
                round(avg(churn_label), 6) AS churn_rate, DATE '{CUTOFF}' AS cutoff_date

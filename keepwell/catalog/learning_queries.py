@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from keepwell.catalog.base import YEAR, matrix, scratch, sql
-from keepwell.operators import learning, splits
+from keepwell.operators import decisions, learning, splits
+from keepwell.operators.decisions import predictions
 from keepwell.operators.neighbours import nearest_neighbours
-from keepwell.params import NUMERIC_FEATURES, Boosting
+from keepwell.operators.smote import smote, synthetic_count
+from keepwell.params import NUMERIC_FEATURES
 from keepwell.plans.training import full_evaluation, headline
 from keepwell.session import settle
-from keepwell.sources import lineage
+from keepwell.sources import lineage, store
+from keepwell.streaming import scoring
+
+_FITTED: dict[tuple[str, str], learning.TrainedModel] = {}
 
-# Few trees: enough to exercise the whole path.
-SETTINGS = YEAR.at(boosting=Boosting(trees=10, depth=4))
+
+def _model(spark, folder):
+    """Train and test rows and the model fitted with all defaults; queries of one session share the fit."""
+    train, test = _parts(spark, folder)
+    name = (spark.sparkContext.applicationId, folder)
+    if name not in _FITTED:
+        _FITTED[name] = learning.fit(train, YEAR)
+    return train, test, _FITTED[name]
 
 
 def _parts(spark, folder):
@@ -67,32 +80,67 @@ def smote_balance(spark, folder):
 
 
 def smote_sample(spark, folder):
-    """The synthetic rows, by the row and the neighbour they lie between."""
-    from keepwell.operators.smote import smote
-
+    """Per minority row: whether its synthetic rows are as many as the ratio asks for and lie towards near neighbours."""
     train, _ = _parts(spark, folder)
     encoded = _encoded(train)
     negatives, positives, _w = learning.class_weight(encoded)
     rare = settle(learning.with_points(encoded.filter("churn_label = 1"), ("customer_id",)).drop("churn_label"))
-    return smote(rare, negatives, YEAR.oversampling)
+    made = settle(smote(rare, negatives, YEAR.oversampling))
+    near = nearest_neighbours(rare, YEAR.oversampling.neighbours).select("point", "neighbour", F.lit(True).alias("is_near"))
+    ends = rare.select(F.col("point").alias("neighbour"), F.col("vector").alias("end"))
+    # On the segment: the way to the row and the way to the neighbour add up to the way between them.
+    def way(a, b):
+        return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+
+    placed = (
+        made.join(near, ["point", "neighbour"], "left").join(ends, "neighbour")
+        .join(rare.select("point", F.col("vector").alias("start")), "point")
+    )
+    apart = F.abs(way("vector", "start") + way("vector", "end") - way("start", "end"))
+    each = placed.groupBy("point").agg(
+        F.count(F.lit(1)).alias("copies"), F.coalesce(F.every("is_near"), F.lit(False)).alias("near"), F.max(apart).alias("apart")
+    )
+    share = synthetic_count(positives, negatives, YEAR.oversampling.ratio) / positives
+    copies = F.coalesce("copies", F.lit(0))
+    return rare.select("point").join(each, "point", "left").select(
+        F.col("point").alias("customer_id"),
+        (F.abs(copies - share) < 1).alias("share_of_copies"),
+        F.coalesce("near", F.lit(True)).alias("near"),
+        (F.coalesce("apart", F.lit(0.0)) < 1e-6).alias("on_segment"),
+    )
 
 
 def gbt_scores(spark, folder):
-    train, test = _parts(spark, folder)
-    return learning.score(test, learning.fit(train, SETTINGS))
+    """Test rows scored by the fitted model: whether flag, action and risk follow from the probability."""
+    _, test, model = _model(spark, folder)
+    p, flag = F.col("churn_probability"), F.col("churn_flag")
+    raw = learning.scores(model.pipeline, test).select("customer_id", (F.col("score") >= model.threshold).cast("int").alias("own"))
+    action = (
+        F.when(p >= 0.75, decisions.CALL).when(p >= 0.5, decisions.PRIORITY).when(flag == 1, decisions.STANDARD)
+        .otherwise(decisions.NO_ACTION)
+    )
+    risk = F.when(p >= 0.75, "CRITICAL").when(p >= 0.5, "HIGH").when(p >= 0.25, "MEDIUM").otherwise("LOW")
+    return learning.score(test, model).join(raw, "customer_id").select(
+        "customer_id", p.between(0, 1).alias("in_range"), (flag == F.col("own")).alias("flag_agrees"),
+        (F.col("recommended_action") == action).alias("action_agrees"), (F.col("risk_level") == risk).alias("risk_agrees"),
+    )
 
 
 def gbt_importance(spark, folder):
-    train, _ = _parts(spark, folder)
-    return learning.feature_importance(learning.fit(train, SETTINGS).pipeline, train)
+    """How many inputs are ranked, whether they are in order, known, and no more than all of the weight."""
+    train, _, model = _model(spark, folder)
+    ranked = learning.feature_importance(model.pipeline, train).collect()
+    weights = [r["importance"] for r in ranked]
+    known = [r["feature"].startswith((*NUMERIC_FEATURES, "customer_segment_", "preferred_category_")) for r in ranked]
+    row = (len(ranked), weights == sorted(weights, reverse=True), all(known), 0 < sum(weights) <= 1 + 1e-9)
+    return spark.createDataFrame([row], "n_features bigint, in_order boolean, known boolean, within_one boolean")
 
 
 def model_registry(spark, folder):
     """Fit, register, load the latest again and score the test rows with it."""
-    train, test = _parts(spark, folder)
-    model = learning.fit(train, SETTINGS)
+    _, test, model = _model(spark, folder)
     scored = learning.scores(model.pipeline, test)
-    metrics = headline(full_evaluation(scored, model.threshold, SETTINGS))
+    metrics = headline(full_evaluation(scored, model.threshold, YEAR))
     home = scratch(spark, "registry")
     lineage.save_model(spark, model, home, metrics)
     again = lineage.load_latest_model(spark, home)
@@ -104,6 +152,39 @@ def model_registry(spark, folder):
     )
 
 
+def evaluation_report(spark, folder):
+    """The evaluation of the fitted model in long form: what the test rows alone decide."""
+    _, test, model = _model(spark, folder)
+    reports = full_evaluation(learning.scores(model.pipeline, test), model.threshold, YEAR, model.pipeline)
+    confusion, lift = reports["confusion"], reports["lift"]
+    rows = [
+        confusion.select(F.lit("rows").alias("figure"), (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("amount")),
+        confusion.select(F.lit("churned"), F.col("tp") + F.col("fn")),
+        lift.select(F.lit("churned, by the lift"), F.col("total").cast("bigint")),
+        reports["baselines"].agg(F.count(F.lit(1))).select(F.lit("baselines"), F.col("count(1)")),
+        reports["lift_curve"].agg(F.count(F.lit(1))).select(F.lit("points of the lift curve"), F.col("count(1)")),
+    ]
+    return reduce(DataFrame.union, rows)
+
+
+def model_stream(spark, folder):
+    """Test rows as a stream through the fitted pipeline, each sent twice: the log agrees with scoring the table."""
+    _, test, model = _model(spark, folder)
+    sent = settle(test.withColumn("requested_at", F.col("cutoff_date").cast("timestamp")))
+    inbox, outbox = scratch(spark, "inbox"), scratch(spark, "outbox")
+    sent.write.parquet(inbox)
+    sent.write.mode("append").parquet(inbox)
+    arriving = scoring.read_requests(spark, inbox, sent.schema, files_per_batch=8)
+    scored = predictions(scoring.model_scorer(model)(arriving), model.threshold, model.version, "score", ("customer_id", "requested_at"))
+    logged = store.prediction_log(scoring.once_per_key(scored, ("customer_id",), "requested_at"))
+    scoring.log_predictions(logged, outbox, scratch(spark, "progress"), available_now=True).awaitTermination()
+    table = learning.score(test, model).select("customer_id", F.col("churn_probability").alias("alone"))
+    return spark.read.parquet(outbox).join(table, "customer_id").select(
+        "customer_id", (F.col("churn_probability") == F.col("alone")).alias("agrees"),
+        F.col("prediction_date").isNotNull().alias("dated"), F.col("action_triggered").isNotNull().alias("acted"),
+    )
+
+
 QUERIES = {
     "class_weight": class_weight,
     "encoded_features": encoded_features,
@@ -113,6 +194,8 @@ QUERIES = {
     "gbt_scores": gbt_scores,
     "gbt_importance": gbt_importance,
     "model_registry": model_registry,
+    "evaluation_report": evaluation_report,
+    "model_stream": model_stream,
 }
 
 _SCALED = ", ".join(
@@ -123,6 +206,9 @@ _MORE = {
     "train": """
         SELECT * FROM (SELECT *, row_number() OVER (ORDER BY customer_id) AS rn, count(*) OVER () AS n FROM matrix)
         WHERE rn <= floor(n * 0.8)""",
+    "test": """
+        SELECT * FROM (SELECT *, row_number() OVER (ORDER BY customer_id) AS rn, count(*) OVER () AS n FROM matrix)
+        WHERE rn > floor(n * 0.8)""",
     "scaled": f"SELECT customer_id, preferred_category, customer_segment, churn_label, {_SCALED} FROM train",
     "rare": "SELECT * FROM scaled WHERE churn_label = 1",
 }
@@ -149,4 +235,19 @@ ORACLE = {
                ELSE greatest(count(*), CAST(floor((SELECT count(*) FROM train WHERE churn_label = 0) * 0.5) AS BIGINT))
                END AS n_rows
         FROM train GROUP BY 1""", YEAR, more=_MORE),
+    "smote_sample": sql("SELECT customer_id, true AS share_of_copies, true AS near, true AS on_segment FROM rare", YEAR, more=_MORE),
+    "gbt_scores": sql("""
+        SELECT customer_id, true AS in_range, true AS flag_agrees, true AS action_agrees, true AS risk_agrees FROM test""",
+        YEAR, more=_MORE),
+    "gbt_importance": sql(f"""
+        SELECT least(15, {len(NUMERIC_FEATURES)} + count(DISTINCT preferred_category) + count(DISTINCT customer_segment))
+                   AS n_features, true AS in_order, true AS known, true AS within_one FROM train""", YEAR, more=_MORE),
+    "model_registry": sql("SELECT count(*) AS n_rows, 0.0::DOUBLE AS largest_difference FROM test", YEAR, more=_MORE),
+    "evaluation_report": sql("""
+        SELECT 'rows' AS figure, count(*) AS amount FROM test
+        UNION ALL SELECT 'churned', count(*) FILTER (WHERE churn_label = 1) FROM test
+        UNION ALL SELECT 'churned, by the lift', count(*) FILTER (WHERE churn_label = 1) FROM test
+        UNION ALL SELECT 'baselines', 4
+        UNION ALL SELECT 'points of the lift curve', count(*) FROM test""", YEAR, more=_MORE),
+    "model_stream": sql("SELECT customer_id, true AS agrees, true AS dated, true AS acted FROM test", YEAR, more=_MORE),
 }

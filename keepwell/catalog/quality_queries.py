@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keepwell.catalog.base import (
-    CUTOFF, EARLIER, MONTH, STAR_KEYS, YEAR, matrices, matrix, raw_matrix, rounded, sql, star,
+    CUTOFF, EARLIER, MONTH, STAR_KEYS, YEAR, matrices, matrix, raw_matrix, rounded, scratch, sql, star,
 )
 from keepwell.catalog.feature_queries import CLEAN
 from keepwell.functions.dates import parse_date
@@ -13,10 +13,10 @@ from keepwell.operators import audit, cleaning, features as feats, profile
 from keepwell.operators.constraints import constraint_audit, keep_one_per_key, split_by_rules
 from keepwell.params import MATRIX_NUMERIC, NUMERIC_FEATURES
 from keepwell.plans import report
-from keepwell.plans.matrix import assemble
 from keepwell.plans.training import clean_bundle
 from keepwell.plans.views import audit_views as audit_views_of, register_views
 from keepwell.session import settle
+from keepwell.sources import store
 from keepwell.sources.retail import Retail
 from keepwell.sources.schemas import PARENTS, RULES
 
@@ -105,11 +105,13 @@ def cleaning_report(spark, folder):
 
 
 def key_integrity(spark, folder):
-    """All tables, the labels and the stored matrix by their composite keys."""
+    """All tables, the labels and the stored matrix, written and read again, by their composite keys."""
     tables = star(spark, folder)
     head = Retail(spark, folder).orders_head
     labels = feats.churn_labels(head, [EARLIER, CUTOFF])
-    whole = {**tables, "ml_churn_labels": labels, "ml_feature_store": feats.order_rollup(head, [CUTOFF], parts=())}
+    path = scratch(spark, "matrix")
+    store.write_matrix(feats.order_rollup(head, [CUTOFF], parts=()), path)
+    whole = {**tables, "ml_churn_labels": labels, "ml_feature_store": store.read_matrix(spark, path)}
     both = ("customer_id", "cutoff_date")
     return audit.key_integrity(whole, {**STAR_KEYS, "ml_churn_labels": both, "ml_feature_store": both}, PARENTS)
 
@@ -235,7 +237,7 @@ def target_correlation(spark, folder):
 
 
 def class_balance(spark, folder):
-    return profile.class_balance(assemble(Retail(spark, folder).bundle(), YEAR))
+    return profile.class_balance(feats.churn_labels(Retail(spark, folder).orders_head, [CUTOFF], 90, YEAR.prediction_days))
 
 
 def histogram(spark, folder):
@@ -390,17 +392,16 @@ _MORE = {
     "key_report": _STAR_KEY_SQL,
     "invariant_report": _INVARIANT_SQL,
     "missing_report": _MISSING_SQL,
+    "without_features": f"""
+        SELECT customer_id FROM churn_labels EXCEPT
+        SELECT customer_id FROM churn_labels WHERE cutoff_date = DATE '{CUTOFF}'""",
     "coverage_report": f"""
-        SELECT count(DISTINCT cl.customer_id) AS customers_with_labels,
-               count(DISTINCT fs.customer_id) AS customers_with_features,
-               count(DISTINCT cl.customer_id) - count(DISTINCT fs.customer_id) AS customers_without_features,
-               round(count(DISTINCT fs.customer_id) * 100.0 / greatest(count(DISTINCT cl.customer_id), 1), 2)
-                   AS coverage_pct,
-               CASE WHEN count(DISTINCT fs.customer_id) = count(DISTINCT cl.customer_id)
-                    THEN '{audit.COVERAGE_GO}' ELSE '{audit.COVERAGE_STOP}' END AS stop_go_status
-        FROM churn_labels cl
-        LEFT JOIN (SELECT * FROM churn_labels WHERE cutoff_date = DATE '{CUTOFF}') fs
-        ON cl.customer_id = fs.customer_id AND cl.cutoff_date = fs.cutoff_date""",
+        SELECT customers_with_labels, customers_with_labels - missing AS customers_with_features,
+               missing AS customers_without_features,
+               round((customers_with_labels - missing) * 100.0 / greatest(customers_with_labels, 1), 2) AS coverage_pct,
+               CASE missing WHEN 0 THEN '{audit.COVERAGE_GO}' ELSE '{audit.COVERAGE_STOP}' END AS stop_go_status
+        FROM (SELECT (SELECT count(*) FROM (SELECT DISTINCT customer_id FROM churn_labels)) AS customers_with_labels,
+                     (SELECT count(*) FROM without_features) AS missing)""",
 }
 _REASONS_SQL = """
     SELECT 'duplicates' AS criterion, table_name AS subject, CAST(dup_rate_pct AS DOUBLE) AS amount

@@ -9,6 +9,7 @@ from keepwell.catalog.base import (
 )
 from keepwell.operators import baselines, decisions, evaluation, features as feats, splits
 from keepwell.operators.constraints import validate_requests
+from keepwell.params import MATRIX_NUMERIC
 from keepwell.session import settle
 from keepwell.sources import store
 from keepwell.sources.retail import Retail
@@ -103,7 +104,14 @@ def class_report(spark, folder):
 
 
 def bootstrap_recall_ci(spark, folder):
-    return evaluation.bootstrap_recall(evaluation.confusion(flagged(spark, folder)), YEAR.evaluation, YEAR.seed)
+    """The observed recall, and whether the interval lies around it; the drawn numbers are the generator's own."""
+    drawn = evaluation.bootstrap_recall(evaluation.confusion(flagged(spark, folder)), YEAR.evaluation, YEAR.seed)
+    point, low, high = F.col("recall_point"), F.col("recall_ci_low"), F.col("recall_ci_high")
+    return drawn.select(
+        F.round("recall_observed", 6).alias("recall_observed"), "ci_level",
+        ((low <= point) & (point <= high)).alias("ordered"),
+        (F.abs(point - F.col("recall_observed")) < 0.02).alias("near"),
+    )
 
 
 # -- decisions ----------------------------------------------------------------------------------------
@@ -157,7 +165,17 @@ def batch_scoring(spark, folder):
 
 
 def batch_summary(spark, folder):
-    return decisions.batch_summary(batch_scoring(spark, folder))
+    """The summary of the scored requests, with how many came and how many were refused."""
+    requests = settle(_requests(spark, folder))
+    counts = settle(scoring.counted(requests, SEGMENTS))
+    answers = scoring.score_requests(requests, _rule_scorer, FLAG_AT, "rule", segments=SEGMENTS)
+    numbers = {c: counts.select(c).scalar() for c in ("total", "scored", "rejected")}
+    return decisions.batch_summary(answers).withColumns(numbers)
+
+
+def rejected_requests(spark, folder):
+    bad = scoring.rejected(_requests(spark, folder), SEGMENTS)
+    return bad.select("customer_id", F.concat_ws(",", "errors").alias("errors"))
 
 
 def prediction_log(spark, folder):
@@ -176,10 +194,10 @@ def stream_scores(spark, folder):
     arriving = scoring.read_requests(spark, inbox, sent.schema, files_per_batch=8)
     key = ("customer_id", "requested_at")
     results = scoring.score_requests(arriving, _rule_scorer, FLAG_AT, "rule", key, SEGMENTS)
-    logged = scoring.once_per_key(results, ("customer_id",), "requested_at")
+    logged = store.prediction_log(scoring.once_per_key(results, ("customer_id",), "requested_at"))
     query = scoring.log_predictions(logged, outbox, scratch(spark, "progress"), available_now=True)
     query.awaitTermination()
-    return spark.read.parquet(outbox).drop("batch", "requested_at")
+    return spark.read.parquet(outbox).drop("stream", "batch", "prediction_date")
 
 
 def campaign_roi(spark, folder):
@@ -211,6 +229,10 @@ def guardrails(spark, folder):
     return rounded(decisions.guardrails(metrics))
 
 
+def imputed_guardrail(spark, folder):
+    return rounded(decisions.imputed_shares(raw_matrix(spark, folder), MATRIX_NUMERIC))
+
+
 def drift_psi(spark, folder):
     tables = Retail(spark, folder)
     columns = ("recency_days", "frequency_orders")
@@ -250,11 +272,13 @@ QUERIES = {
     "serving_defaults": serving_defaults,
     "batch_scoring": batch_scoring,
     "batch_summary": batch_summary,
+    "rejected_requests": rejected_requests,
     "prediction_log": prediction_log,
     "stream_scores": stream_scores,
     "campaign_roi": campaign_roi,
     "best_action": best_action,
     "guardrails": guardrails,
+    "imputed_guardrail": imputed_guardrail,
     "drift_psi": drift_psi,
     "pseudonymised_ids": pseudonymised_ids,
 }
@@ -343,7 +367,7 @@ _ANSWER = f"""
            {_ACTION} AS recommended_action, {_RISK} AS risk_level FROM answers"""
 
 
-def _errors() -> str:
+def _errors(source: str = "raw_matrix", *absent: str) -> str:
     ranges = {
         "avg_delivery_days": "avg_delivery_days < 0 OR avg_delivery_days > 365",
         "avg_satisfaction_score": "avg_satisfaction_score < 1 OR avg_satisfaction_score > 5",
@@ -358,8 +382,8 @@ def _errors() -> str:
         "return_rate": "return_rate < 0 OR return_rate > 1",
         "support_tickets_90d": "support_tickets_90d < 0",
     }
-    marks = ", ".join(f"CASE WHEN {wrong} THEN '{name}' END" for name, wrong in ranges.items())
-    return f"SELECT customer_id, concat_ws(',', {marks}) AS errors FROM raw_matrix"
+    marks = ", ".join(f"CASE WHEN {wrong} THEN '{name}' END" for name, wrong in ranges.items() if name not in absent)
+    return f"SELECT customer_id, concat_ws(',', {marks}) AS errors FROM {source}"
 
 
 def _drift(column: str) -> str:
@@ -472,12 +496,22 @@ ORACLE = {
                round(monetary_total / 90.0, 6) AS spending_intensity FROM raw_matrix"""),
     "batch_scoring": sql(_ANSWER, more=_MORE),
     "batch_summary": sql("""
-        SELECT count(*) AS total, CAST(sum(churn_flag) AS BIGINT) AS churn_count, 'rule' AS model_version
+        SELECT (SELECT count(*) FROM requests) AS total, count(*) AS scored,
+               (SELECT count(*) FROM requests) - count(*) AS rejected,
+               CAST(sum(churn_flag) AS BIGINT) AS churn_count, 'rule' AS model_version
         FROM answers""", more=_MORE),
+    "rejected_requests": sql(
+        f"SELECT * FROM ({_errors('requests', 'customer_segment')}) WHERE errors <> ''", more=_MORE
+    ),
+    "bootstrap_recall_ci": sql("""
+        SELECT round(coalesce(tp / nullif(CAST(tp + fn AS DOUBLE), 0), 0.0), 6) AS recall_observed, '95%' AS ci_level,
+               true AS ordered, true AS near FROM confusion""", YEAR, more=_MORE),
     "prediction_log": sql(f"""
         SELECT customer_id, 'rule' AS model_version, churn_probability, churn_flag, 0.5::DOUBLE AS decision_threshold,
                {_ACTION} AS action_triggered FROM predicted""", YEAR, more=_MORE),
-    "stream_scores": sql(_ANSWER, more=_MORE),
+    "stream_scores": sql(f"""
+        SELECT customer_id, 'rule' AS model_version, churn_probability, churn_flag, 0.5::DOUBLE AS decision_threshold,
+               {_ACTION} AS action_triggered FROM answers""", more=_MORE),
     "campaign_roi": sql("""
         SELECT tp, fp, CAST(5 * (tp + fp) AS DOUBLE) AS spend,
                round(CAST(120 * tp - 5 * (tp + fp) AS DOUBLE) / (5 * (tp + fp)), 6) AS roi
@@ -486,6 +520,11 @@ ORACLE = {
         SELECT customer_id, action AS best_action, round(utility, 6) AS expected_utility
         FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY utility DESC, cost, action DESC) AS rn
               FROM options) WHERE rn = 1""", YEAR, more={**_MORE, "options": _OPTIONS}),
+    "imputed_guardrail": sql(" UNION ALL ".join(
+        f"SELECT '{c}' AS metric, round(100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*), 6) AS value, "
+        f"40.0::DOUBLE AS maximum, 100 * count(*) FILTER (WHERE {c} IS NULL) <= 40 * count(*) AS passed FROM raw_matrix"
+        for c in MATRIX_NUMERIC
+    )),
     "guardrails": sql("""
         SELECT metric, round(value, 6) AS value, minimum, value >= minimum AS passed
         FROM (SELECT 'precision' AS metric, tp / CAST(tp + fp AS DOUBLE) AS value, 0.3::DOUBLE AS minimum FROM confusion

@@ -189,7 +189,7 @@ def missingness(matrix: DataFrame, threshold: float = 0.40, skip: Sequence[str]
                 pct.alias("null_pct"),
                 kind(c, 0).alias("missing_type"),
                 kind(c, 1).alias("treatment"),
-                (pct > threshold * 100).alias("over_threshold"),
+                (F.col(c) > threshold * F.col("_rows")).alias("over_threshold"),
             )
         )
     return counted.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
@@ -238,7 +238,7 @@ CHECKS = {
 
 
 def stop_go_summary(keys: DataFrame, invariants: DataFrame, coverage: DataFrame) -> DataFrame:
-    """PASS or FAIL of the three checks."""
+    """PASS or FAIL of the three checks, decided on counts: a rounded rate hides a few rows of a large table."""
 
     def verdict(df: DataFrame, name: str, passed: Column) -> DataFrame:
         return df.agg(passed.alias("_ok")).select(
@@ -247,11 +247,12 @@ def stop_go_summary(keys: DataFrame, invariants: DataFrame, coverage: DataFrame)
             F.lit(CHECKS[name]).alias("description"),
         )
 
-    no_orphans = F.coalesce(F.sum("orphan_rate_pct"), F.lit(0.0)) == 0
+    no_orphans = F.coalesce(F.sum("orphan_rows"), F.lit(0)) == 0
+    covered = (F.max("customers_without_features") == 0) & (F.max("customers_with_labels") > 0)
     return stack([
-        verdict(keys, "Key Integrity", (F.sum("dup_rate_pct") == 0) & no_orphans),
+        verdict(keys, "Key Integrity", (F.sum("duplicate_keys") == 0) & no_orphans),
         verdict(invariants, "Business Invariants", F.sum("violations") == 0),
-        verdict(coverage, "Feature Coverage", F.max("coverage_pct") == 100),
+        verdict(coverage, "Feature Coverage", covered),
     ])
 
 
@@ -261,11 +262,11 @@ def stop_go_reasons(
     matrix: DataFrame,
     churn_range: tuple[float, float] = (0.01, 0.50),
 ) -> DataFrame:
-    """(criterion, subject, amount) for each reason to stop; no row means go."""
-    duplicates = keys.filter(F.col("dup_rate_pct") > 0).select(
+    """(criterion, subject, amount) for each reason to stop; no row means go. Counts decide, rates are shown."""
+    duplicates = keys.filter(F.col("duplicate_keys") > 0).select(
         F.lit("duplicates").alias("criterion"), F.col("table_name").alias("subject"), F.col("dup_rate_pct").alias("amount")
     )
-    orphans = keys.filter(F.col("orphan_rate_pct") > 0).select(
+    orphans = keys.filter(F.col("orphan_rows") > 0).select(
         F.lit("orphans").alias("criterion"), F.col("table_name").alias("subject"), F.col("orphan_rate_pct").alias("amount")
     )
     sparse = missing.filter("over_threshold").select(

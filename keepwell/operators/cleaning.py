@@ -80,15 +80,21 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 0.40, protected: Seque
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value of each column, the smallest among equals.
 
-    Values are counted by a grouped aggregation, so a column of many values is not held by one task.
+    All columns are counted in one pass, as text and value; a column of many values is held by no single task.
     """
-    found = {}
-    for column in columns:
-        counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-        top = counted.orderBy(F.desc("_rows"), F.asc(column)).first()
-        if top is not None:
-            found[column] = top[column]
-    return found
+    if not columns:
+        return {}
+    cells = [F.struct(F.lit(i).alias("column"), F.col(c).cast("string").alias("text")) for i, c in enumerate(columns)]
+    long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").filter(F.col("text").isNotNull())
+    counted = long.groupBy("column", "text").agg(F.count(F.lit(1)).alias("_rows"))
+    # The smallest among equals in the order of the column's own type.
+    typed = [
+        F.when(F.col("column") == i, F.col("text")).cast(df.schema[c].dataType).alias(f"v{i}") for i, c in enumerate(columns)
+    ]
+    best = counted.select("column", (-F.col("_rows")).alias("rank"), *typed).groupBy("column").agg(
+        F.min(F.struct("rank", *[f"v{i}" for i in range(len(columns))])).alias("best")
+    )
+    return {columns[r["column"]]: r["best"][f"v{r['column']}"] for r in best.collect()}
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -114,6 +114,21 @@ def best_action(
     ).drop("_best")
 
 
+def imputed_shares(raw: DataFrame, columns: Sequence[str], most: float = MAX_IMPUTED_PCT) -> DataFrame:
+    """(metric, value, maximum, passed): the share of each column that imputation has to fill, in percent."""
+    counted = raw.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    rows = [
+        F.struct(
+            F.lit(c).alias("metric"),
+            F.coalesce(100.0 * F.col(c) / F.nullif(F.col("_rows"), F.lit(0)), F.lit(0.0)).alias("value"),
+            F.lit(most).alias("maximum"),
+            (100 * F.col(c) <= most * F.col("_rows")).alias("passed"),
+        )
+        for c in columns
+    ]
+    return counted.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+
+
 def guardrails(metrics: DataFrame, limits: Mapping[str, float] = GUARDRAILS) -> DataFrame:
     """(metric, value, minimum, passed) from one row of metrics."""
     rows = [

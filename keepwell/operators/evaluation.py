@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from keepwell.functions.numeric import share
 from keepwell.operators.ranking import with_position, with_running_totals
 from keepwell.params import Evaluation, ThresholdSearch
+from keepwell.session import settle
 
 
 def confusion(scored: DataFrame, label: str = "churn_label", flag: str = "churn_flag") -> DataFrame:
@@ -83,15 +85,22 @@ def ranking_metrics(scored: DataFrame, score: str = "score", label: str = "churn
 def lift_at_k(
     scored: DataFrame, k: float = 0.20, score: str = "score", label: str = "churn_label", tie: str = "customer_id"
 ) -> DataFrame:
-    """Recall and lift among the ``int(n * k)`` rows of highest score; ties go to the smaller id."""
-    placed = with_position(scored.select(score, label, tie), F.desc(score), F.asc(tie))
-    n_k = F.floor(F.col("total_rows") * F.lit(float(k)))
-    truth = F.col(label) == 1
-    counts = placed.agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count(F.when(F.col("position") < n_k, True)).alias("_n_k"),
-        F.count(F.when(truth, True)).alias("total"),
-        F.count(F.when(truth & (F.col("position") < n_k), True)).alias("captured"),
+    """Recall and lift among the ``int(n * k)`` rows of highest score; ties go to the smaller id.
+
+    Rows are counted per score; only those at the score where the last place falls are put in order.
+    """
+    steps = settle(_score_steps(scored, score, label))
+    whole = steps.agg(F.max("total_flagged").alias("n"), F.max("total_hits").alias("p")).first()
+    n, p = whole["n"] or 0, whole["p"] or 0
+    n_k = math.floor(n * float(k))
+    edge = steps.filter((F.col("flagged") >= n_k) & (F.col("flagged") - F.col("_rows") < n_k)).first()
+    above, found, at = (edge["flagged"] - edge["_rows"], edge["hits"] - edge["_pos"], edge["score"]) if edge else (0, 0, None)
+    tied = scored.filter(F.col(score).eqNullSafe(F.lit(at)) if edge else F.lit(False)).select(tie, label)
+    placed = with_position(tied, F.asc(tie))
+    last = F.count(F.when((F.col(label) == 1) & (F.col("position") < n_k - above), True))
+    counts = placed.agg((last + found).alias("captured")).select(
+        F.lit(n).cast("bigint").alias("_n"), F.lit(n_k).cast("bigint").alias("_n_k"),
+        F.lit(p).cast("bigint").alias("total"), F.col("captured").cast("bigint").alias("captured"),
     )
     rate = share(F.col("total"), F.col("_n"))
     lift = F.when(rate > 0, share(F.col("captured"), F.col("_n_k")) / rate).otherwise(F.lit(1.0))
@@ -187,34 +196,37 @@ def best_threshold(scored: DataFrame, search: ThresholdSearch = ThresholdSearch(
 # -- uncertainty and reports --------------------------------------------------------------------------
 
 
+# Resamples that one block of the bootstrap draws.
+_DRAWS = 128
+
+
 def bootstrap_recall(confusions: DataFrame, settings: Evaluation = Evaluation(), seed: int = 245573) -> DataFrame:
     """Bootstrap interval of the recall from one row of tp, fp, fn, tn.
 
     Drawing n rows with replacement draws (true positives, false negatives, the rest) from a multinomial, so
-    a resample needs three numbers and not the rows. Each iteration has a seed of its own. ``recall_point``
-    is the mean over the resamples, ``recall_observed`` the recall of the rows themselves.
+    a resample needs three numbers and not the rows. Iterations are dealt to tasks in blocks, each with a seed of its
+    own. ``recall_point`` is the mean over the resamples, ``recall_observed`` the recall of the rows themselves.
     """
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            recalls = []
-            for tp, fn, rest, iteration in zip(batch["tp"], batch["fn"], batch["rest"], batch["iteration"]):
+            for tp, fn, rest, observed, first, draws in batch.itertuples(index=False):
                 n = int(tp + fn + rest)
                 if n == 0:
-                    recalls.append(0.0)
+                    yield pd.DataFrame({"observed": observed, "recall": np.zeros(int(draws))})
                     continue
-                rng = np.random.default_rng([seed, int(iteration)])
-                hit, lost, _ = rng.multinomial(n, [tp / n, fn / n, rest / n])
-                recalls.append(hit / (hit + lost) if hit + lost else 0.0)
-            yield pd.DataFrame({"observed": batch["observed"], "recall": recalls})
+                rng = np.random.default_rng([seed, int(first)])
+                hit, lost, _ = rng.multinomial(n, [tp / n, fn / n, rest / n], int(draws)).T
+                yield pd.DataFrame({"observed": observed, "recall": hit / np.maximum(hit + lost, 1)})
 
+    last = settings.bootstrap_iterations
     iterations = confusions.select(
-        "tp",
-        "fn",
-        (F.col("fp") + F.col("tn")).alias("rest"),
+        "tp", "fn", (F.col("fp") + F.col("tn")).alias("rest"),
         share(F.col("tp"), F.col("tp") + F.col("fn")).alias("observed"),
-        F.explode(F.sequence(F.lit(0), F.lit(settings.bootstrap_iterations - 1))).alias("iteration"),
-    )
+        F.explode(F.sequence(F.lit(0), F.lit(last - 1), F.lit(_DRAWS))).alias("first"),
+    ).withColumn("draws", F.least(F.lit(_DRAWS), F.lit(last) - F.col("first")))
+    # The counts are one row; its blocks go to tasks of their own.
+    iterations = iterations.repartition(max(1, -(-last // _DRAWS)), "first")
     tail = settings.bootstrap_alpha / 2
     # One value per iteration reaches the percentile.
     return iterations.mapInPandas(draw, "observed double, recall double").agg(

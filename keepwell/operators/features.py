@@ -187,9 +187,13 @@ def churn_labels(
     return order_rollup(orders, cutoffs, observation_days, prediction_days, parts=()).select(*KEY, *LABEL_COLUMNS)
 
 
-def order_categories(items: DataFrame) -> DataFrame:
-    """The distinct categories of each order, collapsed on the map side before the shuffle by order."""
-    return items.groupBy("order_id").agg(F.collect_set("category").alias("categories"))
+def order_categories(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The distinct categories of each of the given orders.
+
+    The orders are the selective side: lines of other orders go before anything is grouped or shuffled by order.
+    """
+    near = items.select("order_id", "category").join(orders.select("order_id"), "order_id", "left_semi")
+    return near.groupBy("order_id").agg(F.collect_set("category").alias("categories"))
 
 
 def category_diversity(
@@ -199,14 +203,18 @@ def category_diversity(
     observation_days: int = 90,
     relative_error: float | None = None,
 ) -> DataFrame:
-    """Distinct categories over the completed orders; an order without lines adds none."""
+    """Distinct categories over the completed orders; an order without lines adds none.
+
+    Orders that carry their ``categories`` need no lines.
+    """
+    carried = [c for c in ("categories",) if c in orders.columns]
     done = attach_cohorts(
-        orders.filter(F.col("order_status") == COMPLETED).select("order_id", "customer_id", "order_date"),
+        orders.filter(F.col("order_status") == COMPLETED).select("order_id", "customer_id", "order_date", *carried),
         "order_date", cutoffs, observation_days,
     )
-    seen = done.join(order_categories(items), "order_id", "left").select(
-        *KEY, F.explode_outer("categories").alias("category")
-    )
+    if not carried:
+        done = done.join(order_categories(items, done), "order_id", "left")
+    seen = done.select(*KEY, F.explode_outer("categories").alias("category"))
     if relative_error:
         distinct = F.approx_count_distinct("category", relative_error)
     else:

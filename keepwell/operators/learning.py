@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -20,6 +21,8 @@ from keepwell.params import CATEGORICAL_FEATURES, NUMERIC_FEATURES, Boosting, Ov
 from keepwell.session import settle, shared_folder
 
 LABEL = "churn_label"
+# A hash that puts the rows to fit on in a fixed order.
+ORDER = "_order"
 
 
 @dataclass(frozen=True)
@@ -74,6 +77,9 @@ def classifier(settings: Boosting = Boosting(), seed: int = 245573) -> GBTClassi
         featureSubsetStrategy=str(settings.column_share),
         minInstancesPerNode=settings.min_rows_per_leaf,
         minInfoGain=settings.min_gain,
+        # Every level in one pass, and no walk down the tree for each row.
+        cacheNodeIds=True,
+        maxMemoryInMB=1024,
         seed=seed,
     )
 
@@ -88,19 +94,22 @@ def with_points(encoded: DataFrame, key: Sequence[str]) -> DataFrame:
 def oversampled(
     encoded: DataFrame, key: Sequence[str], settings: Oversampling = Oversampling()
 ) -> DataFrame:
-    """(features, label) of the given rows and of the synthetic minority rows. ``encoded`` is stored.
+    """(features, label, order) of the given rows and of the synthetic minority rows. ``encoded`` is stored.
 
     The rarer class is the minority; equal classes are left as they are.
     """
     negatives, positives, _ = class_weight(encoded)
     rare, rare_rows, common_rows = (1, positives, negatives) if positives < negatives else (0, negatives, positives)
-    real = encoded.select("features", F.col(LABEL).cast("double").alias(LABEL))
+    real = encoded.select("features", F.col(LABEL).cast("double").alias(LABEL), F.xxhash64(*key).alias(ORDER))
     if rare_rows < 2 or rare_rows == common_rows:
         return real
     minority = settle(with_points(encoded.filter(F.col(LABEL) == rare), key).drop(LABEL))
     made = smote(minority, common_rows, settings)
     return real.unionByName(
-        made.select(array_to_vector("vector").alias("features"), F.lit(float(rare)).alias(LABEL))
+        made.select(
+            array_to_vector("vector").alias("features"), F.lit(float(rare)).alias(LABEL),
+            F.xxhash64("point", "copy").alias(ORDER),
+        )
     )
 
 
@@ -110,13 +119,9 @@ def scores(model: PipelineModel, features: DataFrame) -> DataFrame:
     return model.transform(features).withColumn("score", vector_to_array("probability")[1]).drop(*added)
 
 
-# Tree training runs a job per level; below this many rows a partition is not worth a task.
-ROWS_PER_TASK = 20_000
-
-
-def _few_partitions(stored: DataFrame) -> DataFrame:
-    """The stored rows in no more partitions than they fill."""
-    return stored.coalesce(max(1, stored.count() // ROWS_PER_TASK))
+def rows_to_fit(train: DataFrame, key: Sequence[str], rows: int, seed: int) -> DataFrame:
+    """At most ``rows`` labelled rows, those first in a seeded hash order of the key."""
+    return train.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(rows)
 
 
 def fit(
@@ -127,20 +132,24 @@ def fit(
 ) -> TrainedModel:
     """Encode, oversample, boost, and tune the threshold on the training rows or on ``tune_on``.
 
-    Oversampling sees the training rows only, after encoding.
+    The fit reads at most ``params.fit_rows`` of the training rows, and oversampling those only, after encoding. They lie in
+    ``params.boosting.tasks`` partitions by a hash, so the same rows give the same model whatever came before.
     """
     require_columns(train, NUMERIC_FEATURES + CATEGORICAL_FEATURES)
     shared_folder(train.sparkSession)
+    train = settle(rows_to_fit(train, key, params.fit_rows, params.seed))
     negatives, positives, weight = class_weight(train)
     encoder = preprocessor().fit(train)
     encoded = settle(encoder.transform(train).select(*key, "features", LABEL))
     weighted = oversampled(encoded, key, params.oversampling).withColumn(
         "_weight", F.when(F.col(LABEL) == 1, F.lit(float(weight))).otherwise(F.lit(1.0))
     )
-    boosted = classifier(params.boosting, params.seed).fit(_few_partitions(settle(weighted)))
+    laid = weighted.repartition(params.boosting.tasks, ORDER).sortWithinPartitions(ORDER).drop(ORDER)
+    boosted = classifier(params.boosting, params.seed).fit(settle(laid))
     pipeline = PipelineModel(stages=[*encoder.stages, boosted])
     threshold = best_threshold(scores(pipeline, train if tune_on is None else tune_on), params.threshold)
-    version = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    # Two fits within a second keep their own versions.
+    version = f"{datetime.now(timezone.utc):%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
     facts = {
         "n_train": float(negatives + positives),
         "n_pos": float(positives),

@@ -1,16 +1,16 @@
-"""Exact k nearest neighbours within one set of points.
+"""Exact k nearest neighbours within one bounded set of points.
 
-Points are spread over the cells of a k-d tree whose splits come from a bounded sample. Each cell answers
-for its own points first; the distance of the k-th hit tells which other cells could hold something closer,
-and only those are asked. Copies of one vector are answered as one point, so that a vector shared by many
-rows neither fills a cell nor multiplies questions.
+Every point is a question, and questions are spread over many tasks. The known points are taken in blocks of a fixed
+size; a block is broadcast, and each task compares its questions with it in one vectorised step and keeps the k best.
+The best of all blocks are chosen per question at the end. The work is the square of the number of points, so callers
+bound it: training does, by ``Params.fit_rows``.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,79 +18,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from keepwell.session import settle
 
-CELL_POINTS = 5_000
-MAX_CELLS = 4_096
-SAMPLE_PER_CELL = 25
-QUESTIONS_PER_TASK = 20_000
-_BLOCK = 512
-
-
-@dataclass(frozen=True)
-class _Tree:
-    """Inner node i splits axis[i] at cut[i] into nodes left[i] and right[i]; a leaf has axis -1 and a cell."""
-
-    axis: list[int]
-    cut: list[float]
-    left: list[int]
-    right: list[int]
-    cell: list[int]
-
-    def cells_of(self, points: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(points), int)
-        stack = [(0, np.arange(len(points)))]
-        while stack:
-            node, ids = stack.pop()
-            if self.axis[node] < 0:
-                out[ids] = self.cell[node]
-            elif len(ids):
-                lower = points[ids, self.axis[node]] <= self.cut[node]
-                stack.append((self.left[node], ids[lower]))
-                stack.append((self.right[node], ids[~lower]))
-        return out
-
-    def cells_within(self, points: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) for every cell that the ball around a row may touch."""
-        rows, cells = [], []
-        stack = [(0, np.arange(len(points)))]
-        while stack:
-            node, ids = stack.pop()
-            if not len(ids):
-                continue
-            if self.axis[node] < 0:
-                rows.append(ids)
-                cells.append(np.full(len(ids), self.cell[node]))
-                continue
-            offset = points[ids, self.axis[node]] - self.cut[node]
-            stack.append((self.left[node], ids[offset - radius[ids] <= 0]))
-            stack.append((self.right[node], ids[offset + radius[ids] >= 0]))
-        if not rows:
-            return np.empty(0, int), np.empty(0, int)
-        return np.concatenate(rows), np.concatenate(cells)
-
-
-def _grow(sample: np.ndarray, cells: int) -> _Tree:
-    tree = _Tree([], [], [], [], [])
-
-    def add(part: np.ndarray, want: int) -> int:
-        node = len(tree.axis)
-        for values, blank in ((tree.axis, -1), (tree.cut, 0.0), (tree.left, -1), (tree.right, -1), (tree.cell, -1)):
-            values.append(blank)
-        spread = part.max(axis=0) - part.min(axis=0) if len(part) > 1 else np.zeros(1)
-        axis = int(spread.argmax())
-        if want <= 1 or spread[axis] == 0:
-            tree.cell[node] = sum(c >= 0 for c in tree.cell)
-            return node
-        cut = float(np.median(part[:, axis]))
-        if cut == part[:, axis].max():
-            cut = float(part[:, axis][part[:, axis] < cut].max())
-        lower = part[:, axis] <= cut
-        tree.axis[node], tree.cut[node] = axis, cut
-        tree.left[node] = add(part[lower], want // 2)
-        tree.right[node] = add(part[~lower], want - want // 2)
-        return node
-
-    add(sample, cells)
-    return tree
+# Points of a broadcast block: with 100 numbers each it has 16 MB.
+BLOCK_POINTS = 20_000
+_BLOCK = 256
 
 
 def _squares(asked: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -121,144 +51,44 @@ def _closest(asked_ids, asked, known_ids, known, k: int) -> Iterator[tuple[np.nd
         yield np.arange(at, at + len(squares)), known_ids[column[kept]].reshape(shape), found[kept].reshape(shape)
 
 
-def _frame(key: str, asked_ids, hits) -> Iterator[pd.DataFrame]:
-    for places, ids, squares in hits:
-        rows = np.repeat(asked_ids[places], ids.shape[1])
-        frame = pd.DataFrame({key: rows, "neighbour": ids.ravel(), "square": squares.ravel()})
-        yield frame[np.isfinite(frame["square"])]
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.vstack(column.to_numpy()) if len(column) else np.empty((0, 1))
-
-
-def _distinct_neighbours(points: DataFrame, k: int, cell_points: int) -> DataFrame:
-    """(point, neighbour, square) for points with distinct vectors; ``points`` is stored."""
-    count = points.count()
-    cells = min(MAX_CELLS, max(1, math.ceil(count / cell_points)))
-    hits = "point bigint, neighbour bigint, square double"
-    if cells == 1:
-        # Fewer points than one cell holds.
-        def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-            ids, vectors = pdf["point"].to_numpy(), _matrix(pdf["vector"])
-            return pd.concat(_frame("point", ids, _closest(ids, vectors, ids, vectors, k)))
+def _matrix(column) -> np.ndarray:
+    return np.vstack(column) if len(column) else np.empty((0, 1))
 
-        return points.withColumn("cell", F.lit(0)).groupBy("cell").applyInPandas(whole, hits)
 
-    share = min(1.0, 2.0 * cells * SAMPLE_PER_CELL / count)
-    drawn = points.select("vector").sample(fraction=share, seed=7).limit(2 * cells * SAMPLE_PER_CELL).collect()
-    tree = _grow(np.array([row["vector"] for row in drawn]), cells)
+def _against(questions: DataFrame, block: DataFrame, k: int) -> DataFrame:
+    """(point, neighbour, square): for every question the k closest points of one block."""
+    rows = block.orderBy("point").collect()
+    shared = questions.sparkSession.sparkContext.broadcast((
+        np.array([r["point"] for r in rows], np.int64), _matrix([r["vector"] for r in rows])
+    ))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(cell=tree.cells_of(_matrix(pdf["vector"])))
-
-    placed = settle(points.mapInPandas(place, "point bigint, vector array<double>, cell int"))
-
-    def at_home(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, vectors = pdf["point"].to_numpy(), _matrix(pdf["vector"])
-        frames = []
-        for places, found, squares in _closest(ids, vectors, ids, vectors, k):
-            finite = np.isfinite(squares)
-            full = finite.sum(axis=1) >= k
-            reach = np.where(full, np.sqrt(np.where(finite, squares, 0).max(axis=1)), np.inf)
-            rows, cells_ = tree.cells_within(vectors[places], reach * (1 + 1e-9))
-            other = cells_ != pdf["cell"].iat[0]
-            asked = pd.Series(cells_[other]).groupby(rows[other]).agg(list).to_dict()
-            frames.append(
-                pd.DataFrame({
-                    "point": ids[places],
-                    "vector": list(pdf["vector"].iloc[places]),
-                    "neighbours": [list(f[m]) for f, m in zip(found, finite)],
-                    "squares": [list(s[m]) for s, m in zip(squares, finite)],
-                    "ask": [asked.get(i, []) for i in range(len(places))],
+    def closest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known_ids, known = shared.value
+        for batch in batches:
+            if not len(batch) or not len(known_ids):
+                continue
+            asked = batch["point"].to_numpy()
+            for places, ids, squares in _closest(asked, _matrix(batch["vector"].to_numpy()), known_ids, known, k):
+                found = pd.DataFrame({
+                    "point": np.repeat(asked[places], ids.shape[1]), "neighbour": ids.ravel(), "square": squares.ravel()
                 })
-            )
-        return pd.concat(frames)
+                yield found[np.isfinite(found["square"])]
 
-    home = settle(
-        placed.groupBy("cell").applyInPandas(
-            at_home,
-            "point bigint, vector array<double>, neighbours array<bigint>, squares array<double>, ask array<int>",
-        )
-    )
-    first = home.select("point", F.explode(F.arrays_zip("neighbours", "squares")).alias("hit")).select(
-        "point", F.col("hit.neighbours").alias("neighbour"), F.col("hit.squares").alias("square")
-    )
-    asked = home.select("point", "vector", F.explode("ask").alias("cell"))
-    # A cell asked often is answered by several tasks, each with a copy of the cell.
-    tasks = asked.groupBy("cell").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(QUESTIONS_PER_TASK)).cast("int").alias("tasks")
-    )
-    tasks = settle(tasks)  # at most MAX_CELLS rows
-    questions = (
-        asked.join(F.broadcast(tasks), "cell")
-        .withColumn("task", F.pmod(F.xxhash64("point"), F.col("tasks")).cast("int"))
-        .drop("tasks")
-    )
-    copies = tasks.select(F.col("cell").alias("_cell"), F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("_task"))
-    answers = placed.join(F.broadcast(copies), F.col("cell") == F.col("_cell")).select(
-        F.col("_cell"), F.col("_task"), F.col("point").alias("known"), F.col("vector").alias("known_vector")
-    )
+    return questions.mapInPandas(closest, "point bigint, neighbour bigint, square double")
 
-    def abroad(questions_: pd.DataFrame, answers_: pd.DataFrame) -> pd.DataFrame:
-        if not len(questions_) or not len(answers_):
-            return pd.DataFrame({"point": [], "neighbour": [], "square": []})
-        ids = questions_["point"].to_numpy()
-        found = _closest(
-            ids, _matrix(questions_["vector"]), answers_["known"].to_numpy(), _matrix(answers_["known_vector"]), k
-        )
-        return pd.concat(_frame("point", ids, found))
 
-    second = (
-        questions.groupBy("cell", "task").cogroup(answers.groupBy("_cell", "_task")).applyInPandas(abroad, hits)
-    )
-    return first.unionByName(second)
-
-
-def nearest_neighbours(points: DataFrame, k: int = 5, cell_points: int = CELL_POINTS) -> DataFrame:
+def nearest_neighbours(points: DataFrame, k: int = 5, block_points: int = BLOCK_POINTS) -> DataFrame:
     """(point, neighbour, place, distance): the k other points closest by Euclidean distance, nearer first,
     the smaller id among equals. ``points`` has a unique bigint ``point`` and an array<double> ``vector``."""
-    points = settle(points.select("point", "vector"))
-    # Of the copies of a vector, the k + 1 smallest ids are all that can appear in an answer.
-    ranked = Window.partitionBy("vector", "_salt").orderBy("point")
-    few = (
-        points.withColumn("_salt", F.pmod(F.xxhash64("point"), F.lit(64)))
-        .withColumn("_n", F.row_number().over(ranked))
-        .filter(F.col("_n") <= k + 1)
-    )
-    groups = settle(
-        few.groupBy("vector")
-        .agg(F.slice(F.array_sort(F.collect_list("point")), 1, k + 1).alias("copies"))
-        .select(F.col("copies")[0].alias("point"), "vector", "copies")
-    )
-    near = _distinct_neighbours(groups.select("point", "vector"), k, cell_points)
+    tasks = max(2, points.sparkSession.sparkContext.defaultParallelism)
+    points = settle(points.select("point", "vector").repartition(tasks, "point"))
+    blocks = max(1, math.ceil(points.count() / block_points))
+    place = F.pmod(F.xxhash64("point"), F.lit(blocks))
+    parts = [_against(points, points.filter(place == i), k) for i in range(blocks)]
     best = Window.partitionBy("point").orderBy("square", "neighbour")
-    near = near.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k).drop("_n")
-    copies = groups.select(F.col("point").alias("neighbour"), "copies")
-    own = groups.select("point", F.lit(0.0).alias("square"), "copies")
-    offered = near.join(copies, "neighbour").select("point", "square", "copies").unionByName(own)
-    listed = offered.groupBy("point").agg(
-        F.slice(
-            F.array_sort(
-                F.flatten(
-                    F.collect_list(
-                        F.transform("copies", lambda c: F.struct(F.col("square").alias("square"), c.alias("id")))
-                    )
-                )
-            ),
-            1,
-            2 * k + 1,
-        ).alias("offers")
-    )
-    keyed = groups.select(F.col("point").alias("_group"), "vector").join(
-        listed.withColumnRenamed("point", "_group"), "_group"
-    )
-    members = points.join(keyed, "vector")
-    mine = F.slice(F.filter("offers", lambda o: o["id"] != F.col("point")), 1, k)
-    return members.select("point", F.posexplode(mine).alias("_at", "hit")).select(
-        "point",
-        F.col("hit.id").alias("neighbour"),
-        (F.col("_at") + 1).alias("place"),
-        F.sqrt("hit.square").alias("distance"),
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .withColumn("place", F.row_number().over(best))
+        .filter(F.col("place") <= k)
+        .select("point", "neighbour", "place", F.sqrt("square").alias("distance"))
     )

@@ -2,7 +2,8 @@
 
 Spark's own exact ``percentile`` keeps every distinct value of a column in one task. Here a column with
 many distinct values is first narrowed, by counting, to a bracket around each wanted rank; only the
-distinct values inside the bracket, a number that is checked, are sorted.
+distinct values inside the bracket are sorted. How many there are is estimated by a sketch, so the bound on what
+one task sorts is approximate; the result is exact all the same.
 """
 
 from __future__ import annotations
@@ -15,8 +16,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 # Distinct values of one column and group that one task may sort.
 SORTABLE = 200_000
-# Groups whose ranks the driver keeps.
-MAX_GROUPS = 1_000
 # Edges that a sketch proposes per step, and its accuracy.
 EDGES = 500
 SKETCH = 5_000
@@ -42,7 +41,8 @@ class _Rank:
 def _candidates(df: DataFrame, by: Sequence[str], ranks: Sequence[_Rank], extra: str = "", values=None) -> DataFrame:
     """(target, value, ...) for the values in the bracket of each rank. ``extra`` names more columns per rank.
 
-    The table of ranks has one row per quantile asked for, and values outside go before any shuffle.
+    The table of ranks has one row per quantile asked for; the planner broadcasts it while it is small. Values outside
+    a bracket go as soon as they meet it.
     """
     names = [f"_g{i}" for i in range(len(by))]
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -61,7 +61,7 @@ def _candidates(df: DataFrame, by: Sequence[str], ranks: Sequence[_Rank], extra:
     match = F.col("_name") == F.col("_column")
     for i, name in enumerate(names):
         match = match & F.col(f"_b{i}").eqNullSafe(F.col(name))
-    return long.join(F.broadcast(wanted), match).filter(
+    return long.join(wanted, match).filter(
         "(low IS NULL OR value >= low) AND (high IS NULL OR value <= high)"
     )
 
@@ -130,16 +130,13 @@ def exact_quantiles(
 ) -> Fit:
     """``{group: {column: {p: value}}}`` with linear interpolation between neighbours; NULLs do not count.
 
-    ``by`` takes columns of few values, such as the cutoff date. ``df`` is read several times and should
-    be stored.
+    The result has one entry for each group and column, as the driver is to hold it; rows of ``df`` never reach the
+    driver. ``df`` is read several times and should be stored.
     """
     columns = list(wanted)
 
     def per_group(*aggregates):
-        rows = (df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)).limit(MAX_GROUPS + 1).collect()
-        if len(rows) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups of {list(by)}")
-        return rows
+        return (df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)).toLocalIterator()
 
     fit: Fit = {}
     ranks: dict[tuple, _Rank] = {}

@@ -69,7 +69,8 @@ def fit_medians(matrix: DataFrame, by: Sequence[str] = ("cutoff_date",), accurac
 def impute(matrix: DataFrame, fit: Medians, by: Sequence[str] = ("cutoff_date",), zero_tickets: bool = False) -> DataFrame:
     """Fill numeric gaps with the fitted medians and the two categories with their defaults.
 
-    Customers without tickets get the median ticket count; ``zero_tickets`` gives them 0.
+    Customers without tickets get the median ticket count; ``zero_tickets`` gives them 0. Without any ticket there is
+    no median, and the count is 0.
     """
     if zero_tickets:
         matrix = matrix.fillna({"support_tickets_90d": 0.0})
@@ -90,7 +91,9 @@ def impute(matrix: DataFrame, fit: Medians, by: Sequence[str] = ("cutoff_date",)
                 for c in matrix.columns
             ]
         )
-    return filled.fillna({"customer_segment": "STANDARD", "preferred_category": "Unknown"})
+    return filled.fillna(
+        {"support_tickets_90d": 0.0, "customer_segment": "STANDARD", "preferred_category": "Unknown"}
+    )
 
 
 def feature_matrix(

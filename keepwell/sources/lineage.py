@@ -21,7 +21,9 @@ REGISTRY = (
 
 
 def _fingerprint(df: DataFrame) -> list[Column]:
-    row_hash = F.xxhash64(*[F.col(c) for c in sorted(df.columns)]).cast("decimal(38,0)")
+    # Fifteen hexadecimal digits of MD5 over the columns as text: any engine can repeat it.
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in sorted(df.columns)])
+    row_hash = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
     return [
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("fingerprint")
     ]
@@ -64,10 +66,19 @@ def as_manifest(records: DataFrame) -> DataFrame:
     return records.select("artifact", F.to_json(F.struct(*rest)).alias("entry"))
 
 
+def from_manifest(manifest: DataFrame) -> DataFrame:
+    """The records behind the JSON texts of a manifest."""
+    entry = ", ".join(f for f in LINEAGE.split(", ") if not f.startswith("artifact "))
+    return manifest.select("artifact", F.from_json("entry", entry).alias("entry")).select("artifact", "entry.*")
+
+
 def save_model(spark: SparkSession, model: TrainedModel, folder: str, metrics: dict[str, float] | None = None) -> str:
-    """Save the pipeline with a record of it, and append that record to the registry; returns the model's path."""
+    """Save the pipeline with a record of it, and append that record to the registry; returns the model's path.
+
+    A version is saved once: a path that exists is an error.
+    """
     path = f"{folder}/models/churn_{model.version}"
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    model.pipeline.write().save(f"{path}/pipeline")
     row = (
         model.version, path, model.threshold, list(model.features),
         {k: float(v) for k, v in model.facts.items()},
@@ -75,7 +86,7 @@ def save_model(spark: SparkSession, model: TrainedModel, folder: str, metrics: d
         datetime.now(timezone.utc),
     )
     entry = spark.createDataFrame([row], REGISTRY)
-    entry.write.mode("overwrite").parquet(f"{path}/record")
+    entry.write.parquet(f"{path}/record")
     entry.write.mode("append").parquet(f"{folder}/registry")
     return path
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from keepwell.operators.features import preferred_category
-from keepwell.sources.tables import Bundle, items_with_products
+from keepwell.session import settle
+from keepwell.sources.tables import Bundle, between_dates, items_with_products
 
 CUTOFF = date(1997, 6, 30)
 
@@ -67,6 +68,32 @@ class Retail:
             "discount_applied", "payment_method", "channel",
         )
 
+    def orders_between(self, start: date, end: date) -> DataFrame:
+        """Orders of the closed window with delivery date and ``categories``, both from one rollup of their lines.
+
+        The window's orders pick their lines before lines meet the catalogue or are grouped. The result is stored:
+        several features read it.
+        """
+        head = between_dates(self.orders_head, "order_date", start, end)
+        near = self.raw("lineitem").select(
+            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), "l_shipdate"
+        ).join(head.select("order_id"), "order_id", "left_semi")
+        rolled = (
+            near.join(self.products.select("product_id", "category"), "product_id", "left")
+            .groupBy("order_id")
+            .agg(F.to_date(F.max("l_shipdate")).alias("delivery_date"), F.collect_set("category").alias("categories"))
+        )
+        return settle(head.join(rolled, "order_id", "left").select(
+            "order_id", "customer_id", "order_date", "delivery_date", "order_status", "total_amount",
+            "discount_applied", "payment_method", "channel", "categories",
+        ))
+
+    def tickets_between(self, start: date, end: date) -> DataFrame:
+        """Tickets of the closed window; the bounds are moved, not the column, so they reach the scan."""
+        shift = timedelta(days=EVENT_SHIFT_DAYS)
+        first, after = start + shift, end + shift + timedelta(days=1)
+        return self._tickets((F.col("ts") >= F.lit(first).cast("timestamp_ntz")) & (F.col("ts") < F.lit(after).cast("timestamp_ntz")))
+
     @property
     def lines(self) -> DataFrame:
         return self.raw("lineitem").select(
@@ -95,7 +122,10 @@ class Retail:
 
     @property
     def tickets(self) -> DataFrame:
-        return self.raw("events").select(
+        return self._tickets(F.lit(True))
+
+    def _tickets(self, where: Column) -> DataFrame:
+        return self.raw("events").filter(where).select(
             F.col("event_id").alias("ticket_id"),
             F.col("user_id").alias("customer_id"),
             F.date_sub(F.to_date("ts"), EVENT_SHIFT_DAYS).alias("created_date"),
@@ -141,7 +171,13 @@ class Retail:
             )
         )
 
-    def bundle(self, cutoff: date = CUTOFF) -> Bundle:
+    def bundle(self, cutoff: date = CUTOFF, window: tuple[date, date] | None = None) -> Bundle:
+        """All tables, or with ``window`` the orders and tickets of its days only."""
+        if window is not None:
+            return Bundle(
+                customers=self.customers(cutoff), orders=self.orders_between(*window), items=self.items,
+                tickets=self.tickets_between(*window),
+            )
         return Bundle(
             customers=self.customers(cutoff), orders=self.orders, items=self.items, tickets=self.tickets
         )

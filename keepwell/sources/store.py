@@ -63,11 +63,13 @@ def prediction_log(predicted: DataFrame) -> DataFrame:
     )
 
 
-def append_predictions(log: DataFrame, path: str) -> None:
-    accepted, _ = split_by_rules(log, RULES["ml_predictions_log"])
+def append_predictions(log: DataFrame, path: str) -> DataFrame:
+    """Append the predictions that keep the rules of the log; returns those that break one, with the rules."""
+    accepted, broken = split_by_rules(log, RULES["ml_predictions_log"])
     accepted.withColumn("prediction_day", F.to_date("prediction_date")).write.mode("append").partitionBy(
         "prediction_day"
     ).parquet(path)
+    return broken
 
 
 def preview(df: DataFrame, *order: str, rows: int = 10) -> DataFrame:

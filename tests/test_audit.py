@@ -109,6 +109,19 @@ def test_gate(spark):
     assert [r["criterion"] for r in few.filter("criterion = 'churn rate'").collect()] == ["churn rate"]
 
 
+def test_a_few_rows_of_a_large_table_stop(spark):
+    """Four repeats in ten million rows: the rate rounds to nothing, the count does not."""
+    large = spark.range(10_000_000).select((F.col("id") - F.when(F.col("id") % 2_500_000 == 1, 1).otherwise(0)).alias("customer_id"))
+    keys = audit.key_integrity({"dim_customers": large}, {"dim_customers": ["customer_id"]}, [])
+    assert (keys.first()["duplicate_keys"], keys.first()["dup_rate_pct"]) == (4, 0.0)
+    t = tables(spark)
+    labels = star.labels(spark, ("A", "2023-01-01", 1))
+    summary = audit.stop_go_summary(keys, audit.business_invariants(t), audit.feature_coverage(labels, labels)).collect()
+    assert {r["check_name"]: r["status"] for r in summary}["Key Integrity"] == "FAIL"
+    reasons = audit.stop_go_reasons(keys, audit.missingness(matrix(spark)).limit(0), matrix(spark))
+    assert "duplicates" in {r["criterion"] for r in reasons.collect()}
+
+
 def test_coverage_and_summary(spark):
     labels = star.labels(spark, ("A", "2023-01-01", 1), ("B", "2023-01-01", 0), ("B", "2023-02-01", 0))
     part = audit.feature_coverage(labels, labels.filter("customer_id = 'A'"))

@@ -138,6 +138,28 @@ def test_whole_run(spark, folder):
     assert run.reports["importance"].count() <= 15
 
 
+def test_run_without_tickets(spark, folder):
+    bundle = Retail(spark, folder).bundle()
+    run = train_and_evaluate(bundle.having(tickets=bundle.tickets.limit(0)), FAST, on_stop="go_on")
+    assert set(run.metrics) == {"recall", "precision", "f1", "auc_roc", "auc_pr", "lift_at_20"}
+
+
+def test_repeated_raw_customers_stop_the_run(spark, folder):
+    from keepwell.operators.audit import StopGoError
+
+    bundle = Retail(spark, folder).bundle()
+    twice = bundle.having(customers=bundle.customers.unionByName(bundle.customers.limit(3)))
+    with pytest.raises(StopGoError, match="duplicates: dim_customers"):
+        train_and_evaluate(twice, FAST)
+
+
+def test_fit_reads_a_bounded_number_of_rows(spark):
+    df = matrix(spark)
+    few = learning.rows_to_fit(df, ("customer_id",), 7, 1)
+    again = learning.rows_to_fit(df.repartition(5), ("customer_id",), 7, 1)
+    assert few.count() == 7 and sorted(few.collect()) == sorted(again.collect())
+
+
 def test_cross_validation(spark):
     from datetime import date
 

@@ -1,6 +1,6 @@
 """What the physical plans must and must not contain."""
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 
@@ -10,7 +10,7 @@ from keepwell.params import Params
 from keepwell.plans.matrix import assemble, feature_matrix
 from keepwell.session import shared_folder
 from keepwell.sources import lineage, store
-from keepwell.sources.retail import CUTOFF, Retail
+from keepwell.sources.retail import CUTOFF, EVENT_SHIFT_DAYS, Retail
 from keepwell.sources.schemas import COLUMNS, KEYS, schema_of
 from keepwell.sources.tables import between_dates, items_with_products, labels_of, read_bundle, run_sql, scan
 
@@ -49,12 +49,30 @@ def test_parts_join_without_shuffling_again(spark):
     try:
         bundle = star.leakage_bundle(spark).having(labels=None)
         text = plan(assemble(bundle, JAN))
-        # orders; orders by id, items by order, categories twice; tickets; customers
-        assert text.count("Exchange hashpartitioning") == 7
+        # orders; orders by id, their ids, lines of those by order, categories twice; tickets; customers
+        assert text.count("Exchange hashpartitioning") == 8
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_window_reaches_events_and_picks_lines_first(spark, folder):
+    tables = Retail(spark, folder)
+    text = plan(tables.tickets_between(date(1997, 4, 1), CUTOFF))
+    first, after = date(1997, 4, 1) + timedelta(days=EVENT_SHIFT_DAYS), CUTOFF + timedelta(days=EVENT_SHIFT_DAYS + 1)
+    assert f"GreaterThanOrEqual(ts,{first}T00:00)" in text and f"LessThan(ts,{after}T00:00)" in text
+    near = feats.category_diversity(tables.orders_head, tables.items, [CUTOFF])
+    lines = near._jdf.queryExecution().optimizedPlan().toString()
+    # Read from the top: grouped by order last, after the catalogue, after the semi join of the lines.
+    assert lines.index("Aggregate [order_id") < lines.index("Join Inner, (product_id") < lines.index("Join LeftSemi")
+
+
+def test_matrix_reads_lines_twice_at_most(spark, folder):
+    day = (date(1997, 4, 1), date(1997, 7, 30))
+    text = plan(assemble(Retail(spark, folder).bundle(CUTOFF, day), Params(cutoff=CUTOFF)))
+    # One more scan made the stored orders of the window; this one is the preferred category's.
+    assert text.count("lineitem.parquet") <= 1
+
+
 def test_fanout_does_not_build_the_join(spark, folder):
     tables = Retail(spark, folder)
     text = plan(audit.join_fanout(tables.orders_head, tables.lines, "order_id", "j"))

@@ -46,6 +46,23 @@ def test_stream_scores_each_key_once(spark, tmp_path):
     assert count == 3 and set(got) == {"a", "b", "c"}
 
 
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    requests(spark, ("a", 80.0, 0), ("b", 35.0, 1)).write.parquet(str(tmp_path / "in"))
+    run(spark, tmp_path)
+    (tmp_path / "progress").rename(tmp_path / "lost")
+    again = tmp_path / "again"
+    again.mkdir()
+    (tmp_path / "out").rename(again / "out")
+    requests(spark, ("c", 10.0, 3)).write.parquet(str(again / "in"))
+    got, count = run(spark, again)
+    assert count == 3 and set(got) == {"a", "b", "c"}
+
+
+def test_requests_are_counted(spark):
+    row = scoring.counted(requests(spark, ("a", 80.0, 0), ("bad", -1.0, 1))).first()
+    assert tuple(row) == (2, 1, 1)
+
+
 def test_rejected_requests(spark):
     bad = scoring.rejected(requests(spark, ("a", 80.0, 0), ("bad", -1.0, 1))).collect()
     assert [(r["customer_id"], r["errors"]) for r in bad] == [("bad", ["recency_days"])]
