@@ -77,8 +77,7 @@ def classifier(settings: Boosting = Boosting(), seed: int = 245573) -> GBTClassi
         featureSubsetStrategy=str(settings.column_share),
         minInstancesPerNode=settings.min_rows_per_leaf,
         minInfoGain=settings.min_gain,
-        # Every level in one pass, and no walk down the tree for each row.
-        cacheNodeIds=True,
+        # Every level in one pass. Node ids are not cached: for a bounded number of rows that takes more jobs than it saves.
         maxMemoryInMB=1024,
         seed=seed,
     )
