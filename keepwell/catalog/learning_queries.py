@@ -6,13 +6,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from keepwell.catalog.base import YEAR, matrix, scratch, sql
+from keepwell.catalog.base import YEAR, bundle_of, matrix, scratch, sql
 from keepwell.operators import decisions, learning, splits
 from keepwell.operators.decisions import predictions
 from keepwell.operators.neighbours import nearest_neighbours
 from keepwell.operators.smote import smote, synthetic_count
 from keepwell.params import NUMERIC_FEATURES
-from keepwell.plans.training import full_evaluation, headline
+from keepwell.plans.training import HEADLINE, full_evaluation, headline, train_and_evaluate
 from keepwell.session import settle
 from keepwell.sources import lineage, store
 from keepwell.streaming import scoring
@@ -167,6 +167,20 @@ def evaluation_report(spark, folder):
     return reduce(DataFrame.union, rows)
 
 
+def train_run(spark, folder):
+    """The whole run on the bundle of the window: gate, rows and classes of both parts, and whether all metrics are shares."""
+    run = train_and_evaluate(bundle_of(spark, folder, YEAR), YEAR, on_stop="go_on")
+    facts, tested = run.model.facts, run.reports["confusion"].first()
+    shares = all(0 <= run.metrics[m] <= 1 for m in HEADLINE if m != "lift_at_20" and run.metrics[m] is not None)
+    row = (
+        run.gate, int(facts["n_train"]), int(facts["n_pos"]), int(facts["n_neg"]),
+        tested["tp"] + tested["fp"] + tested["fn"] + tested["tn"], tested["tp"] + tested["fn"], shares,
+    )
+    return spark.createDataFrame(
+        [row], "gate string, n_train bigint, n_pos bigint, n_neg bigint, n_test bigint, n_churned bigint, shares boolean"
+    )
+
+
 def model_stream(spark, folder):
     """Test rows as a stream through the fitted pipeline, each sent twice: the log agrees with scoring the table."""
     _, test, model = _model(spark, folder)
@@ -195,6 +209,7 @@ QUERIES = {
     "gbt_importance": gbt_importance,
     "model_registry": model_registry,
     "evaluation_report": evaluation_report,
+    "train_and_evaluate": train_run,
     "model_stream": model_stream,
 }
 
@@ -243,6 +258,17 @@ ORACLE = {
         SELECT least(15, {len(NUMERIC_FEATURES)} + count(DISTINCT preferred_category) + count(DISTINCT customer_segment))
                    AS n_features, true AS in_order, true AS known, true AS within_one FROM train""", YEAR, more=_MORE),
     "model_registry": sql("SELECT count(*) AS n_rows, 0.0::DOUBLE AS largest_difference FROM test", YEAR, more=_MORE),
+    "train_and_evaluate": sql("""
+        SELECT CASE WHEN (SELECT count(*) FROM reasons) > 0 THEN 'STOP' ELSE 'GO' END AS gate,
+               (SELECT count(*) FROM train) AS n_train, (SELECT count(*) FROM train WHERE churn_label = 1) AS n_pos,
+               (SELECT count(*) FROM train WHERE churn_label = 0) AS n_neg, (SELECT count(*) FROM test) AS n_test,
+               (SELECT count(*) FROM test WHERE churn_label = 1) AS n_churned, true AS shares""", YEAR, more={
+        **_MORE,
+        # One reason is enough: deliveries before the order, or customers of events without a record.
+        "reasons": """
+            SELECT customer_id FROM raw_matrix WHERE avg_delivery_days < 0
+            UNION ALL SELECT t.customer_id FROM fact_support_tickets t
+                      WHERE t.customer_id NOT IN (SELECT customer_id FROM dim_customers)"""}),
     "evaluation_report": sql("""
         SELECT 'rows' AS figure, count(*) AS amount FROM test
         UNION ALL SELECT 'churned', count(*) FILTER (WHERE churn_label = 1) FROM test

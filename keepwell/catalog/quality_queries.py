@@ -240,6 +240,17 @@ def class_balance(spark, folder):
     return profile.class_balance(feats.churn_labels(Retail(spark, folder).orders_head, [CUTOFF], 90, YEAR.prediction_days))
 
 
+def quality_overview(spark, folder):
+    """The head of the consolidated report, and how many rows its other parts have."""
+    raw, whole = matrices(spark, folder, YEAR)
+    labels = feats.churn_labels(Retail(spark, folder).orders_head, [CUTOFF], 90, YEAR.prediction_days)
+    parts = report.quality_report(star(spark, folder), STAR_KEYS, PARENTS, raw, settle(whole), labels)
+    sizes = {f"n_{name}": F.lit(parts[name].count()).cast("bigint") for name in (
+        "key_integrity", "explosion_factors", "business_invariants", "missingness", "stop_go_summary", "class_balance", "describe"
+    )}
+    return parts["overview"].withColumn("churn_rate", F.round("churn_rate", 6)).withColumns(sizes)
+
+
 def histogram(spark, folder):
     return rounded(profile.histograms(settle(rounded(matrix(spark, folder, YEAR)))), 3)
 
@@ -279,6 +290,7 @@ QUERIES = {
     "target_correlation": target_correlation,
     "class_balance": class_balance,
     "histogram": histogram,
+    "quality_overview": quality_overview,
 }
 
 
@@ -589,6 +601,14 @@ ORACLE = {
         more={**_MORE, "joins": " UNION ALL ".join(_explosion(a, b) for a, b, _ in report.FACT_JOINS)}),
     "stop_go_reasons_month": sql(_REASONS_SQL, more=_MORE),
     "stop_go_reasons_year": sql(_REASONS_SQL, YEAR, more=_MORE),
+    "quality_overview": sql("""
+        SELECT count(*) AS n_customers, CAST(14 AS INTEGER) AS n_features, round(avg(churn_label), 6) AS churn_rate,
+               count(*) FILTER (WHERE churn_label = 1) AS n_churn, count(*) FILTER (WHERE churn_label = 0) AS n_no_churn,
+               CAST(5 AS BIGINT) AS n_key_integrity, CAST(3 AS BIGINT) AS n_explosion_factors,
+               CAST(3 AS BIGINT) AS n_business_invariants, CAST(16 AS BIGINT) AS n_missingness,
+               CAST(3 AS BIGINT) AS n_stop_go_summary, count(DISTINCT churn_label) AS n_class_balance,
+               CAST(11 AS BIGINT) AS n_describe
+        FROM matrix""", YEAR),
     "describe_features": sql(" UNION ALL ".join(_described(c) for c in NUMERIC_FEATURES)),
     "correlation_matrix": sql(" UNION ALL ".join(
         f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {_correlated(a, b)} AS correlation FROM matrix"

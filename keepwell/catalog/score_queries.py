@@ -110,7 +110,7 @@ def bootstrap_recall_ci(spark, folder):
     return drawn.select(
         F.round("recall_observed", 6).alias("recall_observed"), "ci_level",
         ((low <= point) & (point <= high)).alias("ordered"),
-        (F.abs(point - F.col("recall_observed")) < 0.02).alias("near"),
+        (F.abs(point - F.col("recall_observed")) < 0.1).alias("near"),
     )
 
 
