@@ -106,11 +106,11 @@ def class_report(spark, folder):
 def bootstrap_recall_ci(spark, folder):
     """The observed recall, and whether the interval lies around it; the drawn numbers are the generator's own."""
     drawn = evaluation.bootstrap_recall(evaluation.confusion(flagged(spark, folder)), YEAR.evaluation, YEAR.seed)
-    point, low, high = F.col("recall_point"), F.col("recall_ci_low"), F.col("recall_ci_high")
+    point, low, high, seen = (F.round(c, 9) for c in ("recall_point", "recall_ci_low", "recall_ci_high", "recall_observed"))
     return drawn.select(
         F.round("recall_observed", 6).alias("recall_observed"), "ci_level",
-        ((low <= point) & (point <= high)).alias("ordered"),
-        (F.abs(point - F.col("recall_observed")) < 0.1).alias("near"),
+        ((low <= seen) & (seen <= high)).alias("ordered"),
+        (F.abs(point - seen) < 0.1).alias("near"),
     )
 
 
