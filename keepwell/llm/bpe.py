@@ -19,16 +19,21 @@ come back often, so each worker keeps a bounded table of those it has encoded.
 from __future__ import annotations
 
 import json
+import struct
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from keepwell.llm.shared import pieces
+
 #: Pattern of the byte-level pre-tokenizer (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_WORDS = 200_000
+#: Words kept by a worker: so many of late, and as many before them.
+CACHED_WORDS = 150_000
 CACHED_BYTES = 64
+CACHED_PAIRS = 100_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -48,6 +53,7 @@ class Automaton:
         self.laid = dict.fromkeys(single, 0)
         self.parts: dict[int, tuple[int, int]] = {}
         self.cut: dict[tuple[int, int], int] = {}
+        self.answers: dict[tuple[int, int], bool] = {}
         for time, (u, v) in enumerate(merges, 1):
             self._gadget(time, vocabulary[u], vocabulary[v], vocabulary[u + v])
         # Every beginning of an arc's label; the arc itself where the beginning is one.
@@ -94,41 +100,54 @@ class Automaton:
             if laid_v >= laid_u:
                 until_v, v = laid_v, self.parts[v][0]
 
-    def _longest(self, word: bytes, at: int) -> int:
-        best, begins = -1, self.begins
-        for end in range(at + 1, len(word) + 1):
-            begin = word[at:end]
-            if begin not in begins:
-                break
-            if (arc := begins[begin]) is not None:
-                best = arc
-        return best
-
     def encode_word(self, word: bytes) -> list[int]:
+        whole = self.begins.get(word)
+        if whole is not None:
+            return [whole]
         path: list[int] = []
         left: set[int] = set()
-        at, size, label = 0, len(word), self.label
-        arc = self._longest(word, 0) if size else None
+        label, begins, size, at = self.label, self.begins, len(word), 0
+        arc = None
+        forward = True
         while at < size:
+            if forward:
+                arc, end = None, at + 1
+                while end <= size and (begin := word[at:end]) in begins:
+                    if (longer := begins[begin]) is not None:
+                        arc = longer
+                    end += 1
             while arc is not None:
                 end = at + len(label[arc])
-                if end not in left and (not path or self.follows(path[-1], arc)):
+                if end not in left and (not path or self._may_follow(path[-1], arc)):
                     break
                 arc = self.shorter[arc]
-            if arc is None:
+            forward = arc is not None
+            if forward:
+                path.append(arc)
+                at = end
+            else:
                 left.add(at)
                 arc = path.pop()
                 at -= len(label[arc])
                 arc = self.shorter[arc]
-            else:
-                path.append(arc)
-                at = end
-                arc = self._longest(word, at)
         return path
 
+    def _may_follow(self, u: int, v: int) -> bool:
+        """``follows`` with the answers for a bounded number of pairs kept."""
+        answer = self.answers.get((u, v))
+        if answer is None:
+            if len(self.answers) >= CACHED_PAIRS:
+                self.answers.clear()
+            answer = self.answers[u, v] = self.follows(u, v)
+        return answer
+
     def decode(self, ids: list[int]) -> str:
-        label = self.label
-        return b"".join([label[i] for i in ids]).decode("utf-8", "replace")
+        return text_of(self.label, ids)
+
+
+def text_of(label: dict[int, bytes], ids: list[int]) -> str:
+    """The labels of the arcs, read as UTF-8."""
+    return b"".join([label[i] for i in ids]).decode("utf-8", "replace")
 
 
 def load(path: str) -> Automaton:
@@ -146,16 +165,23 @@ def load(path: str) -> Automaton:
 
 
 class _Encoded(dict):
-    """Word to packed ids; what is missing is encoded, and kept if it is short."""
+    """Word to packed ids; what is missing is encoded, and kept if it is short.
+
+    When the table is full it becomes the older one; a word found there comes back, so that frequent words stay.
+    """
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        raw = word.encode()
-        packed = np.array(self.automaton.encode_word(raw), "<u4").tobytes()
-        if len(raw) <= CACHED_BYTES:
+        packed = self.older.get(word)
+        if packed is None:
+            ids = self.automaton.encode_word(word.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= CACHED_BYTES:
             if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = packed
         return packed
@@ -193,7 +219,7 @@ def encode(docs: DataFrame, automaton: Automaton, text: str = "text", ids: str =
 
     def run(batches):
         encoder = Encoder(shared.value)
-        for batch in batches:
+        for batch in pieces(batches):
             packed = [encoder(t or "") for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packed, pa.binary())], [*batch.schema.names, ids])
 
@@ -201,15 +227,15 @@ def encode(docs: DataFrame, automaton: Automaton, text: str = "text", ids: str =
 
 
 def decode(rows: DataFrame, automaton: Automaton, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``rows`` with the text of the packed ids as ``text``; null ids give an empty text."""
-    shared = rows.sparkSession.sparkContext.broadcast(automaton)
+    """``rows`` with the text of the packed ids as ``text``; null ids give an empty text. Only the labels are broadcast."""
+    shared = rows.sparkSession.sparkContext.broadcast(automaton.label)
     others = [c for c in rows.columns if c != text]
     schema = rows.select(*others, F.lit("").alias(text)).schema
 
     def run(batches):
-        decoder = shared.value.decode
-        for batch in batches:
-            texts = [decoder(np.frombuffer(p or b"", "<u4").tolist()) for p in batch.column(ids).to_pylist()]
+        label = shared.value
+        for batch in pieces(batches):
+            texts = [text_of(label, np.frombuffer(p or b"", "<u4").tolist()) for p in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text])
 
     return rows.select(*others).mapInArrow(run, schema)

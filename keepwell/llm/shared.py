@@ -122,6 +122,13 @@ def numbered(df: DataFrame, group: list[str], spread: Column, order: list[Column
     )
 
 
+def pieces(batches: Iterator, rows: int = 512) -> Iterator:
+    """Arrow batches cut into short ones, so that a task holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def arrays(batches: Iterator, *names: str) -> Iterator[list[np.ndarray]]:
     """The named columns of Arrow batches as NumPy arrays."""
     for batch in batches:
