@@ -130,7 +130,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
     spread, order = F.xxhash64("doc_id", "key"), [F.xxhash64("doc_id", "key"), F.col("doc_id")]
 
-    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    # Stored before they are joined: a join straight above an aggregate keeps a text's copies in one task.
+    groups = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "groups")
     marked = stored(rows.join(groups, "key", "left").withColumn("copies", F.coalesce("copies", F.lit(1))), "marked")
     linked = stored(numbered(numbered(marked.filter("copies > 1"), [], spread, order, "turn"), ["key"], spread, order, "rank"), "linked")
     dealt = linked.groupBy("key", (F.col("turn") % shards).cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n"))
@@ -138,8 +139,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
 
     # The copies of a text are told apart by their rank: so many for its first shard, then for the next.
     up_to = Window.partitionBy("key").orderBy("label").rowsBetween(Window.unboundedPreceding, 0)
-    ends = cells.withColumn("end", F.sum("n").over(up_to)).groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("end", "label"))).alias("ends")
+    ends = stored(
+        cells.withColumn("end", F.sum("n").over(up_to)).groupBy("key").agg(
+            F.sort_array(F.collect_list(F.struct("end", "label"))).alias("ends")
+        ),
+        "ends",
     )
     placed = (
         linked.join(ends, "key")
