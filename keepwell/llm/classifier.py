@@ -38,18 +38,22 @@ def shaped(docs: DataFrame, keep: list[str]) -> DataFrame:
     return worded.select(*keep, "shapes", repeated.alias("repeated"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> PipelineModel:
-    """The regression on at most ``rows`` labelled documents."""
+def labelled(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """``label, shapes, repeated`` of at most ``rows`` labelled documents, those with the smallest hashes of their ids."""
     order = F.xxhash64(F.col("label_id"), F.lit(5))
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("double").alias("label"))
         .filter("label_id is not null and label is not null").orderBy(order, "label_id").limit(rows)
     )
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, F.col("doc_id") == F.col("label_id"))
-    examples = stored(shaped(some, ["label"]), "examples")
-    kinds = examples.select("label").distinct().count()
-    if kinds < 2:
-        raise ValueError("labelled documents of both kinds are needed")
+    # At most ``rows`` pairs of numbers are broadcast, so no text moves to meet them.
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        F.broadcast(stored(chosen, "chosen")), F.col("doc_id") == F.col("label_id")
+    )
+    return stored(shaped(some, ["label"]), "examples")
+
+
+def fit(examples: DataFrame) -> PipelineModel:
+    """The regression on examples of both kinds."""
     stages = [
         HashingTF(inputCol="shapes", outputCol="counts", numFeatures=SHAPES),
         Normalizer(inputCol="counts", outputCol="shares", p=1.0),
@@ -108,11 +112,17 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, row
     """``doc_id, host, path, score, host_posterior, path_posterior, quality, kept`` for every row of documents.
 
     ``kept`` is ``quality >= threshold``. A null text counts as empty. Repeated rows and null doc_ids are scored like any
-    other row. Without labels of both kinds it raises; an empty table of documents cannot be fitted either.
+    other row. Where the labels found are of one kind only there is no evidence: every document scores their mean, and 0.5
+    without any label. An empty table gives an empty one. Other columns are ignored.
     """
-    model = fit(docs, labels, rows)
+    examples = labelled(docs, labels, rows)
+    kinds, mean = examples.agg(F.count_distinct("label"), F.avg("label")).first()
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), host.alias("host"), path.alias("path"), F.col("text").alias("text"))
-    scored = model.transform(shaped(named, ["doc_id", "host", "path"]))
-    score = vector_to_array("probability")[1]
-    found = posteriors(stored(scored.select("doc_id", "host", "path", score.alias("score")), "scored"))
+    if kinds < 2:
+        scored = named.withColumn("score", F.lit(0.5 if mean is None else mean))
+    else:
+        scored = fit(examples).transform(shaped(named, ["doc_id", "host", "path"])).withColumn(
+            "score", vector_to_array("probability")[1]
+        )
+    found = posteriors(stored(scored.select("doc_id", "host", "path", "score"), "scored"))
     return found.withColumn("kept", F.col("quality") >= threshold)

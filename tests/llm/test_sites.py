@@ -157,8 +157,10 @@ def test_classifier_takes_awkward_rows(spark, data):
     labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
     found = classifier.classify(samples.table(spark, data), labels, F.col("source"), F.col("lang"))
     assert found.count() == len(data)
-    with pytest.raises(ValueError):
-        classifier.fit(samples.table(spark, data), labels.filter("quality = 1"))
+    for known, score in ((labels.filter("quality = 1"), 1.0), (labels.limit(0), 0.5)):
+        same = classifier.classify(samples.table(spark, data), known, F.col("source"), F.col("lang")).collect()
+        assert len(same) == len(data) and {r.score for r in same} == {score}
+    assert classifier.classify(samples.table(spark, []), labels, F.col("source"), F.col("lang")).count() == 0
 
 
 def order(rows):
