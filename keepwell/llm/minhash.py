@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from keepwell.llm.shared import shingle_hashes, stored
+from keepwell.llm.shared import pieces, shingle_hashes, stored
 
 WIDTH = 5
 BINS = 256
@@ -103,7 +103,7 @@ _ARROW = pa.schema([
 def _walk(batches):
     """Rows of a sorted partition with the next one; the first and the last are given out with their texts."""
     before, part, no_digest = None, None, (None,) * 6
-    for batch in batches:
+    for batch in pieces(batches):
         out = []
         for part, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text"))):
             now = (doc_id, text, fingerprint(text.encode()))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from keepwell.llm.components import components
-from keepwell.llm.shared import arrays, change_points, shingle_hashes, stored
+from keepwell.llm.shared import arrays, change_points, pieces, shingle_hashes, stored
 
 WIDTH = 4
 MAX_BITS = 4
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             bits = np.array([simhash(t, width) for t in batch.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(bits.view(np.int64))],

@@ -23,7 +23,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keepwell.llm.shared import scratch_path, stored
+from keepwell.llm.shared import pieces, scratch_path, stored
 
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 128 << 20
@@ -185,7 +185,7 @@ def write(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES) -> DataFram
 
     def run(batches):
         out, last, again = _Bundles(folder), None, 0
-        for batch in batches:
+        for batch in pieces(batches):
             names = ("page_id", "url", "payload", "digest", "first")
             for page_id, url, payload, digest, first in zip(*(batch.column(c).to_pylist() for c in names)):
                 digest = base64.b32encode(bytes.fromhex(digest)).decode()
