@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keepwell.llm import bpe, classifier, line_dedup, minhash, mixing, quality_rules, sharding, simhash, token_counts, warc
+from keepwell.llm import (
+    ball_search, bpe, classifier, line_dedup, minhash, mixing, packing, quality_rules, sharding, simhash, token_counts, warc,
+)
 
 QUERIES = {}
 ORACLE = {}
@@ -87,6 +89,19 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@_query
+def op11_ball_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = _table(spark, folder, "documents", "doc_id", "text"), _table(spark, folder, "benchmark", "item_id", "text")
+    return ball_search.search(docs, items, top=10)
+
+
+@_query
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), window=1024, end_id=0)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 _STRIP = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -201,3 +216,38 @@ SELECT doc_id, source, tokens, weight, epoch::BIGINT AS epoch, block,
        row_number() OVER (PARTITION BY block ORDER BY md5(key || ':' || source), tokens, doc_id) - 1 AS place
 FROM drawn
 """
+
+_TERMS = rf"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLE["op11_ball_search"] = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS d, doc_id,
+           {_TERMS} AS terms
+    FROM documents
+), lengths AS (
+    SELECT d, doc_id, len(terms)::BIGINT AS n FROM texts WHERE len(terms) > 0
+), totals AS (
+    SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_terms FROM lengths
+), frequencies AS (
+    SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM texts) GROUP BY d, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM frequencies, totals GROUP BY term, all_docs
+), asked AS (
+    SELECT item, item_id, term, count(*) AS times
+    FROM (SELECT row_number() OVER () AS item, item_id,
+                 unnest({_TERMS}) AS term
+          FROM benchmark)
+    GROUP BY item, item_id, term
+), scored AS (
+    SELECT item, item_id, doc_id, d,
+           sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * all_docs) // all_terms))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN frequencies USING (term) JOIN lengths USING (d), totals
+    GROUP BY item, item_id, doc_id, d
+), ranked AS (
+    SELECT item_id, doc_id, score,
+           row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

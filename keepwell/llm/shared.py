@@ -133,3 +133,19 @@ def arrays(batches: Iterator, *names: str) -> Iterator[list[np.ndarray]]:
     """The named columns of Arrow batches as NumPy arrays."""
     for batch in batches:
         yield [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+
+
+def top_rows(df: DataFrame, group: list[str], order: list[Column], count: int, parts: int, fan: int = 64) -> DataFrame:
+    """The first ``count`` rows of each group, with ``rank`` from 1; ties beyond ``order`` fall as they come.
+
+    ``parts`` is about how many tasks bring rows of one group. They are merged in steps, so that no window holds more
+    than a few times ``fan * count`` rows.
+    """
+    step = df
+    while parts > 1:
+        parts = -(-parts // fan)
+        dealt = step.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+        place = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order))
+        step = dealt.withColumn("rank", place).filter(F.col("rank") <= count).drop("_part", "rank")
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return step.withColumn("rank", place).filter(F.col("rank") <= count)
