@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keepwell.llm import (
-    ball_search, bpe, classifier, line_dedup, minhash, mixing, packing, quality_rules, sharding, simhash, token_counts, warc,
+    ball_search, bpe, classifier, collocations, line_dedup, minhash, mixing, packing, quality_rules, sharding, simhash, token_counts,
+    warc,
 )
 
 QUERIES = {}
@@ -95,6 +96,11 @@ def op11_ball_search(spark: SparkSession, folder: str) -> DataFrame:
     return ball_search.search(docs, items, top=10)
 
 
+@_query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents", "text", "lang"), min_count=10, top=2000)
+
+
 @_query
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents", "doc_id", "text")
@@ -251,3 +257,40 @@ WITH texts AS (
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+ORACLE["op12_collocations"] = rf"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents)
+), places AS (
+    SELECT lang, unnest(words) AS x, unnest(words[2:]) AS y, unnest(words[3:]) AS z FROM pieces
+), one AS (
+    SELECT lang, x, count(*) AS f FROM places WHERE x IS NOT NULL GROUP BY lang, x
+), two AS (
+    SELECT lang, x, y, count(*) AS f FROM places WHERE y IS NOT NULL GROUP BY lang, x, y
+), three AS (
+    SELECT lang, x, y, z, count(*) AS f FROM places WHERE z IS NOT NULL GROUP BY lang, x, y, z HAVING count(*) >= 10
+), cuts AS (
+    SELECT c.lang, c.x || ' ' || c.y AS phrase, c.f AS a, 1 AS k, p.f AS l, q.f AS r
+    FROM two c JOIN one p ON p.lang = c.lang AND p.x = c.x JOIN one q ON q.lang = c.lang AND q.x = c.y
+    WHERE c.f >= 10 AND NOT EXISTS (SELECT 1 FROM three o WHERE o.lang = c.lang AND o.x = c.x AND o.y = c.y AND 100 * o.f >= 50 * c.f)
+      AND NOT EXISTS (SELECT 1 FROM three o WHERE o.lang = c.lang AND o.y = c.x AND o.z = c.y AND 100 * o.f >= 50 * c.f)
+    UNION ALL
+    SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 1, p.f, q.f
+    FROM three c JOIN one p ON p.lang = c.lang AND p.x = c.x JOIN two q ON q.lang = c.lang AND q.x = c.y AND q.y = c.z
+    UNION ALL
+    SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 2, p.f, q.f
+    FROM three c JOIN two p ON p.lang = c.lang AND p.x = c.x AND p.y = c.y JOIN one q ON q.lang = c.lang AND q.x = c.z
+), scored AS (
+    SELECT *, (1000000 * a::HUGEINT * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+    SELECT lang, phrase, a, l, r, score,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INT AS rank
+    FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, (SELECT sum(f)::BIGINT FROM one WHERE one.lang = ranked.lang) AS n, score
+FROM ranked WHERE rank <= 2000
+"""
