@@ -1,4 +1,4 @@
-"""Training, scoring and explaining the churn classifier with MLlib."""
+"""Training, scoring and explaining the churn classifier."""
 
 from __future__ import annotations
 
@@ -8,16 +8,16 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from keepwell.operators.boosting import fit_boosted
 from keepwell.operators.constraints import require_columns, require_rows
 from keepwell.operators.decisions import predictions
 from keepwell.operators.evaluation import best_threshold
 from keepwell.operators.smote import smote
-from keepwell.params import CATEGORICAL_FEATURES, NUMERIC_FEATURES, Boosting, Oversampling, Params
+from keepwell.params import CATEGORICAL_FEATURES, NUMERIC_FEATURES, Oversampling, Params
 from keepwell.session import settle, shared_folder
 
 LABEL = "churn_label"
@@ -65,24 +65,6 @@ def class_weight(train: DataFrame, label: str = LABEL) -> tuple[int, int, float]
     return row["neg"], row["pos"], row["neg"] / row["pos"] if row["pos"] else 1.0
 
 
-def classifier(settings: Boosting = Boosting(), seed: int = 245573) -> GBTClassifier:
-    return GBTClassifier(
-        featuresCol="features",
-        labelCol=LABEL,
-        weightCol="_weight",
-        maxIter=settings.trees,
-        maxDepth=settings.depth,
-        stepSize=settings.learning_rate,
-        subsamplingRate=settings.row_share,
-        featureSubsetStrategy=str(settings.column_share),
-        minInstancesPerNode=settings.min_rows_per_leaf,
-        minInfoGain=settings.min_gain,
-        # Every level in one pass. Node ids are not cached: for a bounded number of rows that takes more jobs than it saves.
-        maxMemoryInMB=1024,
-        seed=seed,
-    )
-
-
 def with_points(encoded: DataFrame, key: Sequence[str]) -> DataFrame:
     """Bigint ``point`` and array ``vector``. A single whole-number key is the point itself; other keys are hashed."""
     single = len(key) == 1 and encoded.schema[key[0]].dataType.simpleString() in ("bigint", "int")
@@ -131,8 +113,8 @@ def fit(
 ) -> TrainedModel:
     """Encode, oversample, boost, and tune the threshold on the training rows or on ``tune_on``.
 
-    The fit reads at most ``params.fit_rows`` of the training rows, and oversampling those only, after encoding. They lie in
-    ``params.boosting.tasks`` partitions by a hash, so the same rows give the same model whatever came before.
+    The fit reads at most ``params.fit_rows`` of the training rows, and oversampling those only, after encoding. The same rows
+    give the same model however they are spread over tasks.
     """
     require_columns(train, NUMERIC_FEATURES + CATEGORICAL_FEATURES)
     shared_folder(train.sparkSession)
@@ -143,8 +125,7 @@ def fit(
     weighted = oversampled(encoded, key, params.oversampling).withColumn(
         "_weight", F.when(F.col(LABEL) == 1, F.lit(float(weight))).otherwise(F.lit(1.0))
     )
-    laid = weighted.repartition(params.boosting.tasks, ORDER).sortWithinPartitions(ORDER).drop(ORDER)
-    boosted = classifier(params.boosting, params.seed).fit(settle(laid))
+    boosted = fit_boosted(settle(weighted), params.boosting, params.seed, LABEL, "_weight", ORDER)
     pipeline = PipelineModel(stages=[*encoder.stages, boosted])
     threshold = best_threshold(scores(pipeline, train if tune_on is None else tune_on), params.threshold)
     # Two fits within a second keep their own versions.

@@ -40,10 +40,12 @@ class Boosting:
     learning_rate: float = 0.05
     row_share: float = 0.8
     column_share: float = 0.8
-    min_rows_per_leaf: int = 5
-    min_gain: float = 0.0
-    # Tasks that hold the rows to fit on; fixed, since row sampling depends on it.
-    tasks: int = 2
+    # Least sum of hessians on either side of a split, least gain of a split, penalties of leaf values.
+    min_hessian: float = 5.0
+    gamma: float = 1.0
+    l1: float = 0.1
+    l2: float = 1.0
+    bins: int = 256
 
 
 @dataclass(frozen=True)
@@ -113,7 +115,7 @@ class Params:
         boosting = known(
             section("model", "hyperparams"),
             trees="n_estimators", depth="max_depth", learning_rate="learning_rate", row_share="subsample",
-            column_share="colsample_bytree", min_rows_per_leaf="min_child_weight",
+            column_share="colsample_bytree", min_hessian="min_child_weight", gamma="gamma", l1="reg_alpha", l2="reg_lambda",
         )
         oversampling = known(
             section("model", "smote"), ratio="sampling_strategy", neighbours="k_neighbors", seed="random_state"
