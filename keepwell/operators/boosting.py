@@ -233,11 +233,13 @@ _BLOCK = "bins binary, label binary, weight binary, order binary, margin binary"
 def cuts_of(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
     """Between neighbouring quantiles of each input, at most ``bins - 1`` cut points. Few distinct values are all told apart."""
     shares = [i / bins for i in range(bins + 1)]
-    asked = [F.percentile_approx(F.col("v")[i], shares, 100 * bins).alias(f"q{i}") for i in range(width)]
-    found = rows.select(vector_to_array("features").alias("v")).agg(*asked).first()
+    each = rows.select(F.posexplode(vector_to_array("features")).alias("input", "x"))
+    asked = each.groupBy("input").agg(F.percentile_approx("x", shares, 100 * bins).alias("q"))
+    # One row per input.
+    found = {r["input"]: r["q"] for r in asked.collect()}
     cuts = []
     for i in range(width):
-        values = np.unique(np.array([x for x in found[i] or [] if x is not None and np.isfinite(x)]))
+        values = np.unique(np.array([x for x in found.get(i) or [] if x is not None and np.isfinite(x)]))
         middle = (values[:-1] + values[1:]) / 2
         cuts.append(middle[:bins - 1])
     return cuts
@@ -354,10 +356,11 @@ def grow(
     return how(blocks, width, bins, settings, seed), cuts
 
 
-_NODE = (
-    "treeID int, nodeData struct<id:int,prediction:double,impurity:double,impurityStats:array<double>,rawCount:bigint,"
-    "gain:double,leftChild:int,rightChild:int,split:struct<featureIndex:int,leftCategoriesOrThreshold:array<double>,numCategories:int>>"
-)
+_SPLIT = pa.struct([("featureIndex", pa.int32()), ("leftCategoriesOrThreshold", pa.list_(pa.float64())), ("numCategories", pa.int32())])
+_NODE = pa.schema([("treeID", pa.int32()), ("nodeData", pa.struct([
+    ("id", pa.int32()), ("prediction", pa.float64()), ("impurity", pa.float64()), ("impurityStats", pa.list_(pa.float64())),
+    ("rawCount", pa.int64()), ("gain", pa.float64()), ("leftChild", pa.int32()), ("rightChild", pa.int32()), ("split", _SPLIT),
+]))])
 
 
 def _nodes(number: int, tree: Tree, cuts: list[np.ndarray]) -> Iterator[tuple]:
@@ -372,11 +375,15 @@ def _nodes(number: int, tree: Tree, cuts: list[np.ndarray]) -> Iterator[tuple]:
         column, rows = int(tree.column[node]), max(int(tree.rows[node]), 1)
         inner = column >= 0
         # Importances are gain times count: the gain of the split as a whole.
-        yield number, (
-            ids[node], float(tree.value[node]) / 2, 0.0, [float(rows), 0.0, 0.0], rows, float(tree.gain[node]) / rows if inner else -1.0,
-            ids[2 * node + 1] if inner else -1, ids[2 * node + 2] if inner else -1,
-            (column, [float(cuts[column][tree.cut[node]])], -1) if inner else (-1, [], -1),
-        )
+        yield number, {
+            "id": ids[node], "prediction": float(tree.value[node]) / 2, "impurity": 0.0, "impurityStats": [float(rows), 0.0, 0.0],
+            "rawCount": rows, "gain": float(tree.gain[node]) / rows if inner else -1.0,
+            "leftChild": ids[2 * node + 1] if inner else -1, "rightChild": ids[2 * node + 2] if inner else -1,
+            "split": {
+                "featureIndex": column, "leftCategoriesOrThreshold": [float(cuts[column][tree.cut[node]])] if inner else [],
+                "numCategories": -1,
+            },
+        }
 
 
 def as_model(spark, trees: list[Tree], cuts: list[np.ndarray], depth: int) -> GBTClassificationModel:
@@ -393,8 +400,10 @@ def as_model(spark, trees: list[Tree], cuts: list[np.ndarray], depth: int) -> GB
     ]
     spark.createDataFrame([(json.dumps(whole),)], "value string").coalesce(1).write.text(f"{path}/metadata")
     spark.createDataFrame([(i, json.dumps(e), 1.0) for i, e in enumerate(each)], "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
-    nodes = [n for i, t in enumerate(trees) for n in _nodes(i, t, cuts)]
-    spark.createDataFrame(nodes, _NODE).coalesce(1).write.parquet(f"{path}/data")
+    listed = zip(*(n for i, t in enumerate(trees) for n in _nodes(i, t, cuts)))
+    # By way of Arrow: these are some ten thousands of nested rows.
+    nodes = pa.Table.from_arrays([pa.array(c, k) for c, k in zip(listed, _NODE.types)], _NODE.names)
+    spark.createDataFrame(nodes).coalesce(1).write.parquet(f"{path}/data")
     return GBTClassificationModel.load(path)
 
 
