@@ -36,8 +36,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the digests of the ids and of the text that they decode to."""
     automaton = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), automaton).drop("text")
-    return bpe.digests(bpe.decode(ids, automaton), "doc_id", "source", "ids")
+    return bpe.round_trip(docs, automaton, "doc_id", "source", ids="ids")
 
 
 STAGES = [

@@ -56,8 +56,7 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     automaton = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
-    encoded = bpe.encode(_table(spark, folder, "documents", "doc_id", "text"), automaton).drop("text")
-    return bpe.digests(bpe.decode(encoded, automaton), "doc_id")
+    return bpe.round_trip(_table(spark, folder, "documents", "doc_id", "text"), automaton, "doc_id")
 
 
 @_query

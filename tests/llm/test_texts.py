@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import samples
 import sentencepiece
@@ -103,6 +104,10 @@ def test_encoding_and_decoding(spark, data, automaton):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     docs = samples.table(spark, data, clash=True)
     rows = bpe.digests(bpe.decode(bpe.encode(docs, automaton), automaton), "doc_id").collect()
+    at_once = bpe.round_trip(docs, automaton, "doc_id", "bits")
+    assert sorted(map(str, rows)) == sorted(map(str, at_once.drop("bits").collect()))
+    packed = bpe.round_trip(docs, automaton, "doc_id", ids="ids").filter("octet_length(ids) = 4 * n_tokens AND sha2(ids, 256) = ids_sha256")
+    assert packed.count() == len(rows)
     want = []
     for doc_id, text, *_ in data:
         ids = library.encode(text or "", add_special_tokens=False).ids
@@ -114,22 +119,75 @@ def test_encoding_and_decoding(spark, data, automaton):
 
 def test_every_kind_of_character(automaton):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encoder = bpe.Encoder(automaton)
+    encoder = bpe.Encoder(automaton, kept_arcs=1000)
     texts = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
-    texts += ["a" * n for n in range(1, 70)] + ["ab" * 90, " " * 40 + "x", "<|endoftext|><|endoftext|>", "'s'S n't"]
-    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
-        ids = np.frombuffer(encoder(text), "<u4").tolist()
-        assert ids == want.ids, text
-        assert automaton.decode(ids) == text
+    texts += ["a" * n for n in range(1, 70)] + ["ab" * 90, " " * 40 + "x", "<|endoftext|><|endoftext|>", "'s'S n't", "tiontion" * 40]
+    ids, begins = encoder(pa.array(texts))
+    for k, want in enumerate(library.encode_batch(texts, add_special_tokens=False)):
+        own = ids[begins[k]:begins[k + 1]]
+        assert own.tolist() == want.ids, texts[k]
+        assert automaton.decode(own) == texts[k]
+
+
+def small_automaton(merges):
+    vocabulary = {bytes([b]): b for b in range(256)} | {u + v: 256 + i for i, (u, v) in enumerate(merges)}
+    return bpe.Automaton(vocabulary, merges, {})
 
 
 def test_equal_parts_join_from_the_left():
-    vocabulary = {bytes([b]): b for b in range(256)} | {b"aa": 256, b"aaaa": 257, b"aab": 258}
-    small = bpe.Automaton(vocabulary, [(b"a", b"a"), (b"aa", b"aa"), (b"aa", b"b")], {})
-    assert small.encode_word(b"aaa") == [256, 97]
-    assert small.encode_word(b"aaaaaab") == [257, 258]
-    assert small.encode_word(b"aaaaab") == [257, 97, 98]
-    assert not small.follows(97, 256)
+    encoder = bpe.Encoder(small_automaton([(b"a", b"a"), (b"aa", b"aa"), (b"aa", b"b")]))
+    # The last is longer than words that are walked together.
+    cases = (("aaa", [256, 97]), ("aaaaaab", [257, 258]), ("aaaaab", [257, 97, 98]), ("a" * 402 + "b", [257] * 100 + [258]))
+    for word, want in cases:
+        assert encoder(pa.array([word]))[0].tolist() == want
+    assert not encoder.automaton.has_arc(np.array([97]), np.array([256]))[0]
+
+
+def test_arcs_of_two_states():
+    """ab, then abc, then bc: by hand, which arcs the states a and ab have among a, b, c, ab, abc, bc."""
+    own = small_automaton([(b"a", b"b"), (b"ab", b"c"), (b"b", b"c")])
+    arcs = np.array([97, 98, 99, 256, 257, 258])
+    # Behind a: b was cut by the first gadget. bc was laid where b led at that time, so a has no arc bc either.
+    assert own.has_arc(np.full(6, 97), arcs).tolist() == [True, False, True, True, True, False]
+    # The state behind ab is a copy of that behind b, without c; bc begins with b, which it keeps.
+    assert own.has_arc(np.full(6, 256), arcs).tolist() == [True, True, False, True, True, True]
+
+
+@pytest.mark.parametrize("merges", [
+    [(b"a", b"b"), (b"ab", b"a"), (b"b", b"a"), (b"aba", b"b"), (b"a", b"a")],
+    [(b"a", b"a"), (b"aa", b"a"), (b"aa", b"aa"), (b"b", b"aa"), (b"a", b"b")],
+    [(b"b", b"a"), (b"a", b"ba"), (b"ba", b"ba"), (b"aba", b"baba")],
+])
+def test_every_word_has_one_path(merges):
+    own = small_automaton(merges)
+    encoder = bpe.Encoder(own)
+    labels = {97: b"a", 98: b"b"} | {256 + i: u + v for i, (u, v) in enumerate(merges) if own.laid[256 + i] >= 0}
+
+    def paths(word, state=None):
+        if not word:
+            return [[]]
+        out = []
+        for arc, label in labels.items():
+            if word.startswith(label) and (state is None or own.has_arc(np.array([state]), np.array([arc]))[0]):
+                out += [[arc, *rest] for rest in paths(word[len(label):], arc)]
+        return out
+
+    def merged(word):
+        parts = [word[i:i + 1] for i in range(len(word))]
+        for u, v in merges:
+            i = 0
+            while i + 1 < len(parts):
+                if (parts[i], parts[i + 1]) == (u, v):
+                    parts[i:i + 2] = [u + v]
+                i += 1
+        return [next(t for t, x in labels.items() if x == p) for p in parts]
+
+    for size in range(1, 9):
+        for bits in range(2**size):
+            word = bytes(97 + (bits >> k & 1) for k in range(size))
+            found = paths(word)
+            assert found == [merged(word)]
+            assert encoder(pa.array([word.decode()]))[0].tolist() == found[0]
 
 
 def dropped(data, min_docs):
