@@ -2,8 +2,8 @@
 
 Every point is a question, and questions are spread over many tasks. The known points are taken in blocks of a fixed
 size; a block is broadcast, and each task compares its questions with it in one vectorised step and keeps the k best.
-The best of all blocks are chosen per question at the end. The work is the square of the number of points, so callers
-bound it: training does, by ``Params.fit_rows``.
+The best of all blocks are chosen per question at the end. The work is the square of the number of points, so more than
+``MOST_POINTS`` are refused; ``near.near_neighbours`` takes any number.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from keepwell.session import settle
 # Points of a broadcast block: with 100 numbers each it has 16 MB.
 BLOCK_POINTS = 20_000
 _BLOCK = 256
+# All pairs of more points are not compared.
+MOST_POINTS = 200_000
 
 
 def _squares(asked: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -30,7 +32,7 @@ def _squares(asked: np.ndarray, known: np.ndarray) -> np.ndarray:
     return total
 
 
-def _closest(asked_ids, asked, known_ids, known, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def closest_of(asked_ids, asked, known_ids, known, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per block of questions: their places, and per question the (ids, distances) of up to k other points."""
     by_id = np.argsort(known_ids, kind="stable")
     known_ids, known = known_ids[by_id], known[by_id]
@@ -68,7 +70,7 @@ def _against(questions: DataFrame, block: DataFrame, k: int) -> DataFrame:
             if not len(batch) or not len(known_ids):
                 continue
             asked = batch["point"].to_numpy()
-            for places, ids, squares in _closest(asked, _matrix(batch["vector"].to_numpy()), known_ids, known, k):
+            for places, ids, squares in closest_of(asked, _matrix(batch["vector"].to_numpy()), known_ids, known, k):
                 found = pd.DataFrame({
                     "point": np.repeat(asked[places], ids.shape[1]), "neighbour": ids.ravel(), "square": squares.ravel()
                 })
@@ -82,7 +84,10 @@ def nearest_neighbours(points: DataFrame, k: int = 5, block_points: int = BLOCK_
     the smaller id among equals. ``points`` has a unique bigint ``point`` and an array<double> ``vector``."""
     tasks = max(2, points.sparkSession.sparkContext.defaultParallelism)
     points = settle(points.select("point", "vector").repartition(tasks, "point"))
-    blocks = max(1, math.ceil(points.count() / block_points))
+    count = points.count()
+    if count > MOST_POINTS:
+        raise ValueError(f"{count} points are too many to compare all pairs; use near.near_neighbours")
+    blocks = max(1, math.ceil(count / block_points))
     place = F.pmod(F.xxhash64("point"), F.lit(blocks))
     parts = [_against(points, points.filter(place == i), k) for i in range(blocks)]
     best = Window.partitionBy("point").orderBy("square", "neighbour")
