@@ -182,7 +182,7 @@ FROM named
 
 ORACLE["op3_mixing"] = rf"""
 WITH RECURSIVE measured AS (
-    SELECT doc_id, source, greatest(len({_WORDS}), 1)::BIGINT AS tokens FROM documents
+    SELECT doc_id, source, greatest(len({_WORDS}), 1)::BIGINT AS tokens, md5(coalesce(text, '')) AS content FROM documents
 ), sources AS (
     SELECT source, sum(tokens)::BIGINT AS pass, sum(tokens) / (SELECT sum(tokens) FROM measured)::DOUBLE AS share
     FROM measured GROUP BY source
@@ -207,7 +207,7 @@ WITH RECURSIVE measured AS (
     SELECT *, unnest(range(epochs + 1)) AS epoch FROM planned
 ), passes AS (
     SELECT doc_id, source, tokens, weight, budget, blocks, pass, epoch, epoch = epochs AS ending, rest,
-           md5('17:' || epoch || ':' || doc_id) AS key
+           md5('17:' || epoch || ':' || coalesce(doc_id::VARCHAR, 'none') || ':' || content) AS key
     FROM measured JOIN epochs USING (source)
 ), ranked AS (
     SELECT *, coalesce(sum(tokens) OVER (

@@ -3,7 +3,8 @@
 **Evidence of the document.** A logistic regression over the shapes of its words (runs of capitals, small letters and digits
 are one sign each) and over how often words repeat. It is fitted on a bounded part of the labelled rows.
 
-**Sites.** Hosts hold paths, paths hold documents. The mean score of a host is shrunk towards the global mean, that of a path
+**Sites.** Hosts hold paths, paths hold documents. A document counts for its site with its label where it has one, and else with its
+score. The mean of a host is shrunk towards the global mean, that of a path
 towards its host, each by a strength that the spread between sites implies: sites that differ little or hold few documents
 stay close to the level above. All of it is sums by path and by host.
 
@@ -83,12 +84,16 @@ def _odds(p: Column) -> Column:
 def posteriors(scored: DataFrame) -> DataFrame:
     """Rows ``(doc_id, host, path, score)`` with ``host_posterior, path_posterior, quality``.
 
-    Null hosts and paths are sites of their own. A host with very many documents is summed before the shuffle; the join with
+    What a document tells about its site is its ``label``, if there is such a column and it is known, and else its score; a document
+    is left out of the sums for itself. Null hosts and paths are sites of their own, apart from empty ones. A host with very many documents is summed before the shuffle; the join with
     sites is split by adaptive execution.
     """
-    hosts_of, paths_of = F.coalesce("host", F.lit("")), F.coalesce("path", F.lit(""))
-    rows = scored.withColumns({"_host": hosts_of, "_path": paths_of})
-    paths = stored(rows.groupBy("_host", "_path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("sum")), "paths")
+    def site(name: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
+
+    value = F.coalesce("label", "score") if "label" in scored.columns else F.col("score")
+    rows = scored.withColumns({"_host": site("host"), "_path": site("path"), "_value": value})
+    paths = stored(rows.groupBy("_host", "_path").agg(F.count(F.lit(1)).alias("n"), F.sum("_value").alias("sum")), "paths")
     hosts = paths.groupBy("_host").agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"))
     n, total = hosts.agg(F.sum("n"), F.sum("sum")).first()
     mean = total / n if n else 0.5
@@ -97,8 +102,8 @@ def posteriors(scored: DataFrame) -> DataFrame:
     nested = paths.join(hosts.select("_host", F.col("n").alias("host_n"), F.col("sum").alias("host_sum"), "host_mean"), "_host")
     strong_path = _strength(nested, F.col("host_mean"))
     sites = nested.select("_host", "_path", "host_n", "host_sum", F.col("n").alias("path_n"), F.col("sum").alias("path_sum"))
-    host = (F.col("host_sum") - F.col("score") + strong * mean) / (F.col("host_n") - 1 + strong)
-    path = (F.col("path_sum") - F.col("score") + strong_path * F.col("host_posterior")) / (F.col("path_n") - 1 + strong_path)
+    host = (F.col("host_sum") - F.col("_value") + strong * mean) / (F.col("host_n") - 1 + strong)
+    path = (F.col("path_sum") - F.col("_value") + strong_path * F.col("host_posterior")) / (F.col("path_n") - 1 + strong_path)
     evidence = _odds(F.col("score")) + _odds(F.col("path_posterior")) - _odds(F.lit(mean))
     return (
         rows.join(sites, ["_host", "_path"])
@@ -111,7 +116,7 @@ def posteriors(scored: DataFrame) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, host, path, score, host_posterior, path_posterior, quality, kept`` for every row of documents.
 
-    ``kept`` is ``quality >= threshold``. A null text counts as empty. Repeated rows and null doc_ids are scored like any
+    The registered query takes the source as host and the language as path. ``kept`` is ``quality >= threshold``. A null text counts as empty. Repeated rows and null doc_ids are scored like any
     other row. Where the labels found are of one kind only there is no evidence: every document scores their mean, and 0.5
     without any label. An empty table gives an empty one. Other columns are ignored.
     """
@@ -124,5 +129,10 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, row
         scored = fit(examples).transform(shaped(named, ["doc_id", "host", "path"])).withColumn(
             "score", vector_to_array("probability")[1]
         )
-    found = posteriors(stored(scored.select("doc_id", "host", "path", "score"), "scored"))
+    told = (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
+        .filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.avg("label").alias("label"))
+    )
+    plain = stored(scored.select("doc_id", "host", "path", "score"), "scored")
+    found = posteriors(stored(plain.join(stored(told, "told"), "doc_id", "left"), "known")).drop("label")
     return found.withColumn("kept", F.col("quality") >= threshold)

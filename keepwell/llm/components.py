@@ -10,13 +10,14 @@ from keepwell.llm.shared import stored
 def _stars(links: DataFrame) -> DataFrame:
     """One large-star step, then one small-star step, over links ``(a, b)`` with ``a > b``.
 
-    The join on a hub is left to adaptive execution, which splits a hub with very many links; the least
-    neighbour of a hub is an aggregate combined before its shuffle.
+    The least neighbour of a hub is an aggregate combined before its shuffle. It is stored before it joins the links, so that
+    the join reads plain rows and adaptive execution can split a hub with very many of them.
     """
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-    low = large.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+    lifted = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = stored(lifted.distinct(), "large")
+    low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "low")
     lifted = large.join(low, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return lifted.union(low.select("a", F.col("m").alias("b"))).distinct()
 

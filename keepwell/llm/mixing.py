@@ -37,15 +37,23 @@ class Mixture:
     sources: DataFrame
 
 
-def _key(epoch: Column, doc_id: Column) -> Column:
-    text = F.coalesce(doc_id.cast("string"), F.lit("none"))
-    return F.md5(F.concat_ws(":", F.lit(SEED), epoch.cast("string"), text))
+def _key(epoch: Column, doc_id: Column, content: Column) -> Column:
+    """Place in the permutation of a pass. The text is part of it, so rows with one doc_id, or with none, are apart."""
+    name = F.coalesce(doc_id.cast("string"), F.lit("none"))
+    return F.md5(F.concat_ws(":", F.lit(SEED), epoch.cast("string"), name, content))
+
+
+def _content(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, tokens``: words of the text, one at least, so that every row takes room."""
+    """``doc_id, source, tokens, content``: words of the text, one at least, so that every row takes room, and its MD5."""
     tokens = F.greatest(F.size(words_of(F.col("text"))), F.lit(1)).cast("long")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"), tokens.alias("tokens"))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"), tokens.alias("tokens"),
+        _content(F.col("text")).alias("content"),
+    )
 
 
 def _state(sources: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:
@@ -64,8 +72,6 @@ def _state(sources: DataFrame, exponents: list[float]) -> list[tuple[float, floa
     ]
 
 
-
-
 def exponent_for(sources: DataFrame, target_entropy: float | None, repetition_limit: float | None) -> float:
     """The least exponent, to ``2**-HALVINGS``, that meets the targets; 1 if none below does.
 
@@ -110,7 +116,7 @@ def plan(rows: DataFrame, target_entropy: float | None = None, repetition_limit:
     same = F.col("source").eqNullSafe(F.col("_source"))
     last = (
         rows.join(shared.select(F.col("source").alias("_source"), "epochs", "rest").filter("rest > 0"), same)
-        .withColumn("key", _key(F.col("epochs"), F.col("doc_id")))
+        .withColumn("key", _key(F.col("epochs"), F.col("doc_id"), F.col("content")))
         .select("source", "rest", "tokens", "key", F.substring("key", 1, 3).alias("bucket"))
     )
     totals = last.groupBy("source", "bucket").agg(F.sum("tokens").alias("n"), F.first("rest").alias("rest"))
@@ -138,7 +144,7 @@ def _copies(rows: DataFrame, mixture: Mixture) -> DataFrame:
         F.col("source").alias("_source"), "budget", "weight", F.col("tokens").alias("pass_tokens"), "epochs", "last_key"
     )
     joined = rows.join(per_source, F.col("source").eqNullSafe(F.col("_source")))
-    again = F.coalesce(_key(F.col("epochs"), F.col("doc_id")) <= F.col("last_key"), F.lit(False)).cast("long")
+    again = F.coalesce(_key(F.col("epochs"), F.col("doc_id"), F.col("content")) <= F.col("last_key"), F.lit(False)).cast("long")
     drawn = joined.withColumn("draws", F.col("epochs") + again)
     return drawn.withColumn("epoch", F.explode(F.when(F.col("draws") > 0, F.sequence(F.lit(0).cast("long"), F.col("draws") - 1))))
 
@@ -147,12 +153,12 @@ def draws(docs: DataFrame, target_entropy: float | None = None, repetition_limit
     """The mixture as rows: ``doc_id, source, tokens, weight, epoch, block, place``.
 
     ``weight`` is the weight of the source, ``epoch`` its pass, ``block`` the block of the mixture and ``place`` the number from 0
-    within the block. A null source is a source of its own. A row without words counts as one token. Rows with one doc_id
-    have one place in a permutation, ordered by their tokens; null doc_ids likewise. An empty table gives an empty one.
+    within the block. A null source is a source of its own. A row without words counts as one token. Rows with one doc_id,
+    or without one, have places of their own by their texts; rows equal in both are drawn together. An empty table gives an empty one.
     """
     rows = stored(measured(docs), "measured")
     mixture = plan(rows, target_entropy, repetition_limit)
-    copies = _copies(rows, mixture).withColumn("key", _key(F.col("epoch"), F.col("doc_id")))
+    copies = _copies(rows, mixture).withColumn("key", _key(F.col("epoch"), F.col("doc_id"), F.col("content")))
     copies = copies.select("doc_id", "source", "tokens", "weight", "budget", "pass_tokens", "epoch", "key", F.substring("key", 1, 3).alias("bucket"))
     totals = copies.groupBy("source", "epoch", "bucket").agg(F.sum("tokens").alias("n"))
     earlier = Window.partitionBy("source", "epoch").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -174,5 +180,8 @@ def draws(docs: DataFrame, target_entropy: float | None = None, repetition_limit
 def mixed(docs: DataFrame, target_entropy: float | None = None, repetition_limit: float | None = REPETITION_LIMIT) -> DataFrame:
     """The documents as often as the mixture draws them, all columns as they are; every document at least once."""
     mixture = plan(stored(measured(docs), "measured"), target_entropy, repetition_limit)
-    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"))
+    packed = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"),
+        _content(F.col("text")).alias("content"),
+    )
     return _copies(packed, mixture).select("row.*")

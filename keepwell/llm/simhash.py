@@ -251,13 +251,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, max_bits: int = MAX_BIT
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
     distinct = stored(prints.groupBy("bits").agg(first), "distinct")
     member = components(links_between(distinct, max_bits, blocks))
-    whole = distinct.join(member, F.col("bits") == F.col("node"), "left").select(
+    whole = stored(distinct.join(member, F.col("bits") == F.col("node"), "left").select(
         "bits", "first", F.coalesce("root", "bits").alias("root")
-    )
-    named = whole.groupBy("root").agg(F.min("first").alias("class"))
-    classes = whole.join(named, "root").select(
+    ), "whole")
+    # Both sides of the joins are stored, so that a component or fingerprint with very many rows can be split.
+    named = stored(whole.groupBy("root").agg(F.min("first").alias("class")), "named")
+    classes = stored(whole.join(named, "root").select(
         "bits", F.col("class.doc_id").alias("component_id"), F.col("class.text_hash").alias("first_hash")
-    )
+    ), "classes")
     return prints.join(classes, "bits")
 
 

@@ -27,6 +27,8 @@ from keepwell.llm.shared import pieces, scratch_path, stored
 
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 128 << 20
+#: Packed bytes that a task reads back.
+READ_BYTES = 32 << 20
 MIN_BYTES = 0
 DATE = "2000-01-01T00:00:00Z"
 
@@ -167,7 +169,8 @@ def decide(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     slim = stored(
         rows.select("page_id", "digest", (F.length("payload") >= min_bytes).alias("linked")).distinct(), "pages"
     )
-    first = slim.groupBy("digest").agg(F.min("page_id").alias("first"))
+    # Stored, so that the join below reads plain rows and a digest with very many pages can be split.
+    first = stored(slim.groupBy("digest").agg(F.min("page_id").alias("first")), "first")
     chosen = slim.join(first, "digest").select(
         F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), F.when(F.col("linked"), F.col("first")).alias("first")
     )
@@ -243,7 +246,11 @@ def _records_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read(bundles: DataFrame, with_payload: bool = False) -> DataFrame:
-    """All records of the bundles, a task reading whole frames; digests of responses are verified."""
+    """All records of the bundles, a task reading whole frames; digests of responses are verified.
+
+    The number of tasks follows the bytes of the frames and not those of their descriptions: one for each ``READ_BYTES``, and for
+    few bytes as many as there are frames, up to four for each core.
+    """
 
     def run(batches):
         for batch in batches:
@@ -251,8 +258,11 @@ def read(bundles: DataFrame, with_payload: bool = False) -> DataFrame:
                 found = parse(_plain(path, at, size))
                 yield _records_batch([_record(head, http, payload, with_payload) for _, head, http, payload in found])
 
-    spread = frames(bundles).repartition("bundle", "frame")
-    return spread.mapInArrow(run, RECORDS)
+    cores = 4 * bundles.sparkSession.sparkContext.defaultParallelism
+    listed = stored(frames(bundles.repartition(cores, "bundle")), "frames")
+    count, total = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = max(1, -(-total // READ_BYTES), min(count, cores))
+    return listed.repartition(tasks, "bundle", "frame").mapInArrow(run, RECORDS)
 
 
 def fetch(index: DataFrame, wanted: DataFrame) -> DataFrame:

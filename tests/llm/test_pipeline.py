@@ -69,8 +69,8 @@ def copies(data, limit=1.5):
     out = Counter()
     for s, p in share.items():
         whole, rest = divmod(math.floor(p ** high / p / least * tokens[s] + 0.5), tokens[s])
-        mine = [r[0] for r in data if r[3] == s]
-        for i in sorted(mine, key=lambda i: hashlib.md5(f"17:{whole}:{i}".encode()).hexdigest()):
+        mine = {r[0]: hashlib.md5((r[1] or "").encode()).hexdigest() for r in data if r[3] == s}
+        for i in sorted(mine, key=lambda i: hashlib.md5(f"17:{whole}:{i}:{mine[i]}".encode()).hexdigest()):
             out[i] += whole + (rest > 0)
             rest -= words[i]
     return out

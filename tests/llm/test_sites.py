@@ -5,6 +5,7 @@ import hashlib
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow.fs
 import pytest
 import samples
@@ -59,9 +60,10 @@ def test_draws(spark, data):
     assert set(draws) == {r[0] for r in unique} and max(draws.values()) == 2
     for source, p in plan.items():
         mine = [(i, word_count(t)) for i, t, _, s, _ in unique if s == source]
+        content = {i: hashlib.md5((t or "").encode()).hexdigest() for i, t, *_ in unique}
 
         def key(epoch, doc_id):
-            return hashlib.md5(f"17:{epoch}:{doc_id}".encode()).hexdigest()
+            return hashlib.md5(f"17:{epoch}:{doc_id}:{content[doc_id]}".encode()).hexdigest()
 
         left, again = p.rest, set()
         for i, n in sorted(mine, key=lambda x: key(p.epochs, x[0])):
@@ -75,6 +77,20 @@ def test_draws(spark, data):
     assert all(sorted(b) == list(range(len(b))) for b in blocks.values())
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_budget_holds_for_rows_of_one_id(spark, doc_id):
+    rows = [(doc_id, f"{samples.prose(i, 9)} {i}", "en", "small", 0) for i in range(200)]
+    rows += [(1000 + i, samples.prose(i, 30), "en", "large", 0) for i in range(400)]
+    docs = samples.table(spark, rows)
+    found = mixing.draws(docs, None, 1.5).collect()
+    plan = {r.source: r for r in mixing.plan(mixing.measured(docs), None, 1.5).sources.collect()}
+    for source, p in plan.items():
+        own = [r for r in found if r.source == source]
+        longest = max(r.tokens for r in own)
+        assert p.budget <= sum(r.tokens for r in own) < p.budget + longest
+        assert sum(r.tokens for r in own) <= 1.5 * p.tokens + longest
+
+
 def test_mixed_documents(spark, data):
     docs = samples.table(spark, data, clash=True)
     out = mixing.mixed(docs)
@@ -153,6 +169,55 @@ def test_sparse_sites_stay_near_the_level_above(spark):
     assert out[2000].quality < out[0].quality
 
 
+def plain_posteriors(rows):
+    """The same by loops: ``rows`` are (doc_id, host, path, score, label)."""
+    value = {i: s if label is None else label for i, _, _, s, label in rows}
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for i, host, path, *_ in rows:
+        hosts[host].append(value[i])
+        paths[host, path].append(value[i])
+    mean = sum(value.values()) / len(value)
+
+    def strength(groups, above):
+        between = sum(len(g) * (sum(g) / len(g) - above[k]) ** 2 for k, g in groups.items()) / len(groups)
+        chance = sum(above[k] * (1 - above[k]) for k in groups) / len(groups)
+        size = sum(map(len, groups.values())) / len(groups)
+        return 1 / min(0.99, max(1e-4, (between / chance - 1) / max(size - 1, 1.0))) - 1
+
+    strong = strength(hosts, dict.fromkeys(hosts, mean))
+    host_mean = {h: (sum(g) + strong * mean) / (len(g) + strong) for h, g in hosts.items()}
+    strong_path = strength(paths, {k: host_mean[k[0]] for k in paths})
+
+    def odds(p):
+        p = min(max(p, 1e-6), 1 - 1e-6)
+        return math.log(p / (1 - p))
+
+    out = {}
+    for i, host, path, score, _ in rows:
+        h = (sum(hosts[host]) - value[i] + strong * mean) / (len(hosts[host]) - 1 + strong)
+        p = (sum(paths[host, path]) - value[i] + strong_path * h) / (len(paths[host, path]) - 1 + strong_path)
+        out[i] = h, p, 1 / (1 + math.exp(-(odds(score) + odds(p) - odds(mean))))
+    return out
+
+
+def test_posteriors_by_loops(spark):
+    draw = np.random.default_rng(6)
+    rows = []
+    for host, share in (("a", 0.8), ("b", 0.3), ("c", 0.5), (None, 0.9), ("", 0.1), ("sparse", 0.6)):
+        for path in ("x", "y", None, ""):
+            for _ in range(1 if host == "sparse" else int(draw.integers(3, 20))):
+                score = float(np.clip(draw.normal(share, 0.15), 0.01, 0.99))
+                label = float(draw.random() < share) if draw.random() < 0.3 else None
+                rows.append((len(rows), host, path, score, label))
+    table = spark.createDataFrame(rows, "doc_id long, host string, path string, score double, label double")
+    want = plain_posteriors(rows)
+    for r in classifier.posteriors(table).collect():
+        assert np.allclose([r.host_posterior, r.path_posterior, r.quality], want[r.doc_id], atol=1e-9), r
+    # Null and empty sites are apart: their posteriors follow their own shares.
+    means = {host: np.mean([want[i][0] for i, h, *_ in rows if h == host]) for host in (None, "")}
+    assert means[None] > 0.6 > 0.4 > means[""]
+
+
 def test_classifier_takes_awkward_rows(spark, data):
     labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
     found = classifier.classify(samples.table(spark, data), labels, F.col("source"), F.col("lang"))
@@ -237,6 +302,17 @@ def test_archive(spark, least):
     assert len({r.record_id for r in found}) == len(PAGES)
 
 
+def test_many_tasks_read_the_frames(spark, tmp_path):
+    long = F.concat(F.col("id").cast("string"), F.repeat(F.lit(samples.prose(1, 100)), 900))
+    pages = spark.range(64).select(F.col("id").alias("page_id"), F.lit("https://x").alias("url"), long.alias("html"))
+    index = warc.write(pages.repartition(3), f"file://{tmp_path}")
+    assert index.select("bundle", "frame").distinct().count() == 64
+    records = warc.read(index.select("bundle").distinct())
+    tasks = records.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) >= 8 and sum(r["count"] for r in tasks) == 64
+    assert max(r["count"] for r in tasks) < 24
+
+
 def test_records_are_found_by_their_place(spark, tmp_path):
     rows = [(i, f"http://a.example/{i}", samples.prose(i, 3000)) for i in range(40)]
     index = warc.write(page_table(spark, rows), str(tmp_path / "out"))

@@ -1,6 +1,7 @@
 """Quality rules, token counts, encoding and line dedup against plain Python."""
 
 import hashlib
+import time
 from collections import Counter
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from keepwell.llm import bpe, line_dedup, quality_rules, token_counts
+from keepwell.llm.shared import stored
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -209,6 +211,29 @@ def test_line_dedup(spark, data, batches, fanout):
     assert got == sorted(dropped(data + more, 3))
 
 
+def test_many_shared_lines_in_one_text(spark):
+    """Twelve texts of 100,000 lines that all of them share: seconds, since the work on a text is linear."""
+    text = "\n".join(f"line {i} of all" for i in range(100_000))
+    docs = stored(spark.range(12).select(F.col("id").alias("doc_id"), F.concat(F.lit(text + "\nown "), F.col("id").cast("string")).alias("text")), "long")
+    begun = time.monotonic()
+    found = line_dedup.drop_shared_lines(docs).select("row.doc_id", "n_lines", "n_dropped", "kept_text").collect()
+    assert time.monotonic() - begun < 60
+    assert sorted(map(tuple, found)) == [(i, 100_001, 100_000, f"own {i}") for i in range(12)]
+
+
+def test_runs_are_merged_where_they_lie(spark):
+    runs = line_dedup._Runs(spark, 4)
+    keys = stored(spark.range(1000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("line"), F.lit(12).cast("long").alias("n")), "keys")
+    name = runs.add(keys.filter("hash(line) % 2 = 0"))
+    fresh = runs.without_settled(keys, name, 10)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    assert fresh.count() == keys.filter("hash(line) % 2 != 0").count()
+    both = runs.merged([name, runs.add(keys), runs.add(keys.limit(10))])
+    assert both.count() == 1000 and both.agg(F.sum("n")).first()[0] == 12 * (1000 + keys.filter("hash(line) % 2 = 0").count() + 10)
+    runs.forget()
+
+
 def test_line_dedup_of_documents(spark):
     data = [(i, f"Common\nown {i}", "en", "s0", 0) for i in range(12)] + [(99, None, "en", "s0", None)]
     docs = samples.table(spark, data, clash=True)
