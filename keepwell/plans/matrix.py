@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
 from keepwell.operators import features as feats
-from keepwell.operators.quantiles import medians
+from keepwell.operators.quantiles import grouped_quantiles
 from keepwell.params import MATRIX_NUMERIC, Params
 from keepwell.session import settle
 from keepwell.sources.tables import Bundle
@@ -17,8 +17,6 @@ MATRIX_COLUMNS = (
     "customer_id", "cutoff_date", *MATRIX_NUMERIC, "customer_segment", "preferred_category", "churn_label",
 )
 
-Medians = Mapping[tuple, Mapping[str, float | None]]
-
 
 def assemble(
     bundle: Bundle,
@@ -61,36 +59,33 @@ def _on(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     return left.join(right if len(key) > 1 else right.drop("cutoff_date"), key, "left")
 
 
-def fit_medians(matrix: DataFrame, by: Sequence[str] = ("cutoff_date",), accuracy: int | None = None) -> Medians:
-    """Medians of the numeric columns, per cutoff by default. ``matrix`` should be stored."""
-    return medians(matrix, MATRIX_NUMERIC, by, accuracy)
+def fit_medians(matrix: DataFrame, by: Sequence[str] = ("cutoff_date",), accuracy: int | None = None) -> DataFrame:
+    """Medians of the numeric columns, one row per group (a cutoff by default). ``matrix`` should be stored.
+
+    ``accuracy`` takes the built-in sketch. Groups are rows of a table throughout, however many there are.
+    """
+    named = [f"_med_{c}" for c in MATRIX_NUMERIC]
+    if accuracy is not None:
+        sketches = [F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(n) for c, n in zip(MATRIX_NUMERIC, named)]
+        return settle(matrix.groupBy(*by).agg(*sketches))
+    long = grouped_quantiles(matrix, {c: [0.5] for c in MATRIX_NUMERIC}, by)
+    wide = [F.max(F.when(F.col("column") == c, F.col("value"))).alias(n) for c, n in zip(MATRIX_NUMERIC, named)]
+    return settle(long.groupBy(*by).agg(*wide))
 
 
-def impute(matrix: DataFrame, fit: Medians, by: Sequence[str] = ("cutoff_date",), zero_tickets: bool = False) -> DataFrame:
+def impute(matrix: DataFrame, fit: DataFrame, by: Sequence[str] = ("cutoff_date",), zero_tickets: bool = False) -> DataFrame:
     """Fill numeric gaps with the fitted medians and the two categories with their defaults.
 
     Customers without tickets get the median ticket count; ``zero_tickets`` gives them 0. Without any ticket there is
-    no median, and the count is 0.
+    no median, and the count is 0. The medians are stored, so the planner knows their size: a small table is broadcast, a
+    large one is joined by group.
     """
     if zero_tickets:
         matrix = matrix.fillna({"support_tickets_90d": 0.0})
-    if len(fit) == 1:
-        (cells,) = fit.values()
-        filled = matrix.fillna({c: v for c, v in cells.items() if v is not None})
-    else:
-        # One row per group of the fit.
-        types = {f.name: f.dataType.simpleString() for f in matrix.schema.fields}
-        table = matrix.sparkSession.createDataFrame(
-            [(*group, *[cells[c] for c in MATRIX_NUMERIC]) for group, cells in fit.items()],
-            ", ".join([f"{b} {types[b]}" for b in by] + [f"_med_{c} double" for c in MATRIX_NUMERIC]),
-        )
-        joined = matrix.join(F.broadcast(table), list(by), "left")
-        filled = joined.select(
-            *[
-                F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) if c in MATRIX_NUMERIC else F.col(c)
-                for c in matrix.columns
-            ]
-        )
+    joined = matrix.join(fit, list(by), "left")
+    filled = joined.select(
+        *[F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) if c in MATRIX_NUMERIC else F.col(c) for c in matrix.columns]
+    )
     return filled.fillna(
         {"support_tickets_90d": 0.0, "customer_segment": "STANDARD", "preferred_category": "Unknown"}
     )
