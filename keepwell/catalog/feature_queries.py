@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from keepwell.catalog.base import (
@@ -217,10 +219,22 @@ def feature_matrix_multi_cohort(spark, folder):
     return rounded(matrix(spark, folder, MONTH, COHORTS))
 
 
+def feature_matrix_daily(spark, folder):
+    """Seventy daily cutoffs: windows over one table of days.
+
+    Mean scores of 32 or 64 tickets have an exact 5 behind the sixth digit, which any order of summation may round either way.
+    """
+    whole = matrix(spark, folder, MONTH, DAILY)
+    digits = {"avg_satisfaction_score": 9}
+    return whole.select(*[F.round(c, digits.get(c, 6)).alias(c) if t == "double" else F.col(c) for c, t in whole.dtypes])
+
+
 def feature_matrix_clean(spark, folder):
     return rounded(clean_feature_matrix(Retail(spark, folder).bundle(), MONTH))
 
 
+DAILY = tuple(CUTOFF - timedelta(days=i) for i in range(70))
+
 QUERIES = {
     "scan_orders_window": scan_orders_window,
     "order_items_join": order_items_join,
@@ -251,6 +265,7 @@ QUERIES = {
     "feature_matrix": feature_matrix_query,
     "feature_matrix_zero_tickets": feature_matrix_zero_tickets,
     "feature_matrix_multi_cohort": feature_matrix_multi_cohort,
+    "feature_matrix_daily": feature_matrix_daily,
     "feature_matrix_clean": feature_matrix_clean,
 }
 
@@ -380,5 +395,7 @@ ORACLE = {
             "WHERE r.customer_id = matrix.customer_id), 0), 6)"
         ), YEAR),
     "feature_matrix_multi_cohort": sql(matrix_select(), cutoffs=COHORTS),
+    "feature_matrix_daily": sql(
+        matrix_select().replace("round(avg_satisfaction_score, 6)", "round(avg_satisfaction_score, 9)"), cutoffs=DAILY),
     "feature_matrix_clean": _clean_matrix(),
 }

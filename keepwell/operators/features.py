@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from keepwell.functions.dates import A_MONDAY, monday_number
 from keepwell.functions.numeric import share, slope
-from keepwell.operators.cohorts import attach_cohorts
+from keepwell.operators.cohorts import INLINE_COHORTS, attach_cohorts
+from keepwell.operators.sliding import sliding_diversity, sliding_orders, sliding_support
 
 KEY = ["customer_id", "cutoff_date"]
 
@@ -114,10 +115,14 @@ def order_rollup(
     """Order features per (customer, cutoff), and with ``prediction_days`` the label columns as well.
 
     Feature expressions are guarded by ``order_date <= cutoff_date``; only the prediction count looks past it.
-    Customers without any order in the observation window have no row.
+    Customers without any order in the observation window have no row. More than ``INLINE_COHORTS`` cutoffs are windows over one
+    table of days, unless ``censor_future_delivery`` makes the value of a day depend on the cutoff.
     """
     ahead = prediction_days or 0
     cutoffs = sorted(set(cutoffs))
+    if len(cutoffs) > INLINE_COHORTS and not censor_future_delivery:
+        columns = [c for c in ORDER_FEATURES if c in parts] + (list(LABEL_COLUMNS) if prediction_days is not None else [])
+        return sliding_orders(orders, cutoffs, observation_days, prediction_days, iso_year, COMPLETED, RETURNED).select(*KEY, *columns)
     day, cutoff = F.col("order_date"), cutoff_of(cutoffs)
     start = F.date_sub(cutoff, observation_days)
     seen, done = F.col("_seen"), F.col("_done")
@@ -208,6 +213,12 @@ def category_diversity(
     Orders that carry their ``categories`` need no lines.
     """
     carried = [c for c in ("categories",) if c in orders.columns]
+    if len(set(cutoffs)) > INLINE_COHORTS and relative_error is None:
+        done = orders.filter(F.col("order_status") == COMPLETED).select("order_id", "customer_id", "order_date", *carried)
+        # Orders of no window need no lines.
+        first, last = min(cutoffs) - timedelta(days=observation_days), max(cutoffs)
+        near = done.filter(F.col("order_date").between(F.lit(first), F.lit(last)))
+        return sliding_diversity(near, None if carried else order_categories(items, near), cutoffs, observation_days)
     done = attach_cohorts(
         orders.filter(F.col("order_status") == COMPLETED).select("order_id", "customer_id", "order_date", *carried),
         "order_date", cutoffs, observation_days,
@@ -227,6 +238,8 @@ def category_diversity(
 
 
 def support_features(tickets: DataFrame, cutoffs: Sequence[date], observation_days: int = 90) -> DataFrame:
+    if len(set(cutoffs)) > INLINE_COHORTS:
+        return sliding_support(tickets, cutoffs, observation_days)
     near = attach_cohorts(
         tickets.select("ticket_id", "customer_id", "created_date", "satisfaction_score"),
         "created_date", cutoffs, observation_days,
