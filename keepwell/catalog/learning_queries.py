@@ -11,8 +11,8 @@ from keepwell.operators import decisions, learning, splits
 from keepwell.operators.decisions import predictions
 from keepwell.operators.neighbours import nearest_neighbours
 from keepwell.operators.smote import smote, synthetic_count
-from keepwell.params import NUMERIC_FEATURES
-from keepwell.plans.training import HEADLINE, full_evaluation, headline, train_and_evaluate
+from keepwell.params import NUMERIC_FEATURES, Boosting
+from keepwell.plans.training import HEADLINE, cross_validate, full_evaluation, headline, train_and_evaluate
 from keepwell.session import settle
 from keepwell.sources import lineage, store
 from keepwell.sources.retail import Retail
@@ -182,6 +182,20 @@ def train_run(spark, folder):
     )
 
 
+def stratified_folds(spark, folder):
+    """Rows of each fold by class."""
+    folded = splits.stratified_folds(settle(matrix(spark, folder, YEAR)), YEAR.evaluation.folds, seed=YEAR.seed)
+    return folded.groupBy("fold", "churn_label").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def cross_validation(spark, folder):
+    """Five folds by class with small models: sizes of the parts, and whether the metrics are shares."""
+    small = YEAR.at(boosting=Boosting(trees=10, depth=3))
+    found = cross_validate(settle(matrix(spark, folder, YEAR)), None, small)
+    shares = [F.coalesce(F.col(m).between(0, 1), F.lit(True)) for m in HEADLINE if m != "lift_at_20"]
+    return found.select("fold", "n_train", "n_test", "n_test_churned", reduce(lambda a, b: a & b, shares).alias("shares"))
+
+
 def model_stream(spark, folder):
     """Test rows as a stream through the fitted pipeline, each sent twice: the log agrees with scoring the table."""
     _, test, model = _model(spark, folder)
@@ -212,6 +226,8 @@ QUERIES = {
     "evaluation_report": evaluation_report,
     "train_and_evaluate": train_run,
     "model_stream": model_stream,
+    "stratified_folds": stratified_folds,
+    "cross_validation": cross_validation,
 }
 
 _SCALED = ", ".join(
@@ -278,5 +294,13 @@ ORACLE = {
         UNION ALL SELECT 'churned, by the lift', count(*) FILTER (WHERE churn_label = 1) FROM test
         UNION ALL SELECT 'baselines', 4
         UNION ALL SELECT 'points of the lift curve', count(*) FROM test""", YEAR, more=_MORE),
+    "stratified_folds": sql("""
+        SELECT CAST(fold AS INTEGER) AS fold, churn_label, (n + 5 - fold) // 5 AS n_rows
+        FROM (SELECT churn_label, count(*) AS n FROM matrix GROUP BY 1), range(1, 6) AS folds(fold)""", YEAR),
+    "cross_validation": sql("""
+        SELECT CAST(fold AS INTEGER) AS fold, CAST(sum(n) - sum((n + 5 - fold) // 5) AS BIGINT) AS n_train,
+               CAST(sum((n + 5 - fold) // 5) AS BIGINT) AS n_test,
+               CAST(sum((n + 5 - fold) // 5) FILTER (WHERE churn_label = 1) AS BIGINT) AS n_test_churned, true AS shares
+        FROM (SELECT churn_label, count(*) AS n FROM matrix GROUP BY 1), range(1, 6) AS folds(fold) GROUP BY fold""", YEAR),
     "model_stream": sql("SELECT customer_id, true AS agrees, true AS dated, true AS acted FROM test", YEAR, more=_MORE),
 }

@@ -251,6 +251,27 @@ def quality_overview(spark, folder):
     return parts["overview"].withColumn("churn_rate", F.round("churn_rate", 6)).withColumns(sizes)
 
 
+def quality_report_values(spark, folder):
+    """The consolidated report by value, in long form: every figure of its audits and of the class balance."""
+    raw, whole = matrices(spark, folder, MONTH)
+    labels = feats.churn_labels(Retail(spark, folder).orders_head, [CUTOFF])
+    parts = report.quality_report(star(spark, folder), STAR_KEYS, PARENTS, raw, settle(whole), labels)
+    figures = [
+        ("key_integrity", "table_name", "duplicate_keys", "duplicate_keys"), ("key_integrity", "table_name", "orphan_rows", "orphan_rows"),
+        ("explosion_factors", "join_name", "explosion_factor", "explosion_factor"),
+        ("business_invariants", "invariant_name", "violations", "violations"), ("missingness", "column_name", "null_pct", "null_pct"),
+        ("missingness", "column_name", "over_threshold", "int(over_threshold)"),
+        ("feature_coverage", "stop_go_status", "customers_without_features", "customers_without_features"),
+        ("stop_go_summary", "check_name", "passed", "int(status = 'PASS')"), ("class_balance", "string(churn_label)", "cnt", "cnt"),
+        ("describe", "feature", "cnt", "cnt"),
+    ]
+    rows = [
+        parts[name].selectExpr(f"'{name}' AS section", f"{subject} AS subject", f"'{figure}' AS figure", f"round(double({value}), 4) AS amount")
+        for name, subject, figure, value in figures
+    ]
+    return audit.stack(rows).filter("amount IS NOT NULL")
+
+
 def histogram(spark, folder):
     return rounded(profile.histograms(settle(rounded(matrix(spark, folder, YEAR)))), 3)
 
@@ -291,6 +312,7 @@ QUERIES = {
     "class_balance": class_balance,
     "histogram": histogram,
     "quality_overview": quality_overview,
+    "quality_report_values": quality_report_values,
 }
 
 
@@ -417,8 +439,8 @@ _MORE = {
 }
 _REASONS_SQL = """
     SELECT 'duplicates' AS criterion, table_name AS subject, CAST(dup_rate_pct AS DOUBLE) AS amount
-    FROM key_report WHERE dup_rate_pct > 0
-    UNION ALL SELECT 'orphans', table_name, orphan_rate_pct FROM key_report WHERE orphan_rate_pct > 0
+    FROM key_report WHERE duplicate_keys > 0
+    UNION ALL SELECT 'orphans', table_name, orphan_rate_pct FROM key_report WHERE orphan_rows > 0
     UNION ALL SELECT 'nulls', column_name, null_pct FROM missing_report WHERE over_threshold
     UNION ALL SELECT 'negative delivery', 'avg_delivery_days', CAST(count(*) AS DOUBLE) FROM matrix
               WHERE avg_delivery_days < 0 HAVING count(*) > 0
@@ -581,11 +603,12 @@ ORACLE = {
     "feature_coverage": sql("SELECT * FROM coverage_report", cutoffs=_TWO, more=_MORE),
     "stop_go_summary": sql(f"""
         SELECT 'Key Integrity' AS check_name,
-               CASE WHEN sum(dup_rate_pct) = 0 AND coalesce(sum(orphan_rate_pct), 0) = 0 THEN 'PASS' ELSE 'FAIL' END
+               CASE WHEN sum(duplicate_keys) = 0 AND coalesce(sum(orphan_rows), 0) = 0 THEN 'PASS' ELSE 'FAIL' END
                    AS status, {_quoted(audit.CHECKS['Key Integrity'])} AS description FROM key_report
         UNION ALL SELECT 'Business Invariants', CASE WHEN sum(violations) = 0 THEN 'PASS' ELSE 'FAIL' END,
                   {_quoted(audit.CHECKS['Business Invariants'])} FROM invariant_report
-        UNION ALL SELECT 'Feature Coverage', CASE WHEN coverage_pct = 100 THEN 'PASS' ELSE 'FAIL' END,
+        UNION ALL SELECT 'Feature Coverage',
+                  CASE WHEN customers_without_features = 0 AND customers_with_labels > 0 THEN 'PASS' ELSE 'FAIL' END,
                   {_quoted(audit.CHECKS['Feature Coverage'])} FROM coverage_report""", cutoffs=_TWO, more=_MORE),
     "audit_views": sql(f"""
         SELECT 'key' AS kind, table_name AS subject, duplicate_keys + coalesce(orphan_rows, 0) AS amount
@@ -594,9 +617,9 @@ ORACLE = {
         UNION ALL SELECT 'coverage', stop_go_status, customers_without_features FROM coverage_report
         UNION ALL SELECT 'join', join_name, n_right FROM joins WHERE explosion_factor > 1
         UNION ALL SELECT 'gate', 'Key Integrity', NULL FROM key_report WHERE table_name <> 'dim_products'
-                  HAVING sum(dup_rate_pct) > 0 OR sum(orphan_rate_pct) > 0
+                  HAVING sum(duplicate_keys) > 0 OR sum(orphan_rows) > 0
         UNION ALL SELECT 'gate', 'Business Invariants', NULL FROM invariant_report HAVING sum(violations) > 0
-        UNION ALL SELECT 'gate', 'Feature Coverage', NULL FROM coverage_report WHERE coverage_pct <> 100""",
+        UNION ALL SELECT 'gate', 'Feature Coverage', NULL FROM coverage_report WHERE customers_without_features > 0""",
         cutoffs=_TWO,
         more={**_MORE, "joins": " UNION ALL ".join(_explosion(a, b) for a, b, _ in report.FACT_JOINS)}),
     "stop_go_reasons_month": sql(_REASONS_SQL, more=_MORE),
@@ -609,6 +632,25 @@ ORACLE = {
                CAST(3 AS BIGINT) AS n_stop_go_summary, count(DISTINCT churn_label) AS n_class_balance,
                CAST(11 AS BIGINT) AS n_describe
         FROM matrix""", YEAR),
+    "quality_report_values": sql(f"""
+        SELECT section, subject, figure, round(CAST(amount AS DOUBLE), 4) AS amount FROM (
+            SELECT 'key_integrity' AS section, table_name AS subject, 'duplicate_keys' AS figure, CAST(duplicate_keys AS DOUBLE) AS amount
+            FROM key_report
+            UNION ALL SELECT 'key_integrity', table_name, 'orphan_rows', orphan_rows FROM key_report
+            UNION ALL SELECT 'explosion_factors', join_name, 'explosion_factor', explosion_factor FROM joins
+            UNION ALL SELECT 'business_invariants', invariant_name, 'violations', violations FROM invariant_report
+            UNION ALL SELECT 'missingness', column_name, 'null_pct', null_pct FROM missing_report
+            UNION ALL SELECT 'missingness', column_name, 'over_threshold', CAST(over_threshold AS INTEGER) FROM missing_report
+            UNION ALL SELECT 'feature_coverage', stop_go_status, 'customers_without_features', customers_without_features FROM coverage_report
+            UNION ALL SELECT 'stop_go_summary', 'Key Integrity', 'passed',
+                      CAST(sum(duplicate_keys) = 0 AND coalesce(sum(orphan_rows), 0) = 0 AS INTEGER) FROM key_report
+            UNION ALL SELECT 'stop_go_summary', 'Business Invariants', 'passed', CAST(sum(violations) = 0 AS INTEGER) FROM invariant_report
+            UNION ALL SELECT 'stop_go_summary', 'Feature Coverage', 'passed',
+                      CAST(customers_without_features = 0 AND customers_with_labels > 0 AS INTEGER) FROM coverage_report
+            UNION ALL SELECT 'class_balance', CAST(churn_label AS VARCHAR), 'cnt', count(*) FROM matrix GROUP BY churn_label
+            {' '.join(f"UNION ALL SELECT 'describe', '{c}', 'cnt', count({c}) FROM matrix" for c in NUMERIC_FEATURES)}
+        ) WHERE amount IS NOT NULL""",
+        more={**_MORE, "joins": " UNION ALL ".join(_explosion(a, b) for a, b, _ in report.FACT_JOINS)}),
     "describe_features": sql(" UNION ALL ".join(_described(c) for c in NUMERIC_FEATURES)),
     "correlation_matrix": sql(" UNION ALL ".join(
         f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {_correlated(a, b)} AS correlation FROM matrix"

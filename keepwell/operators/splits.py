@@ -61,3 +61,25 @@ def fold_sizes(matrix: DataFrame, cutoffs: Sequence[date], folds: int = 5) -> Da
         for i, test in enumerate(tests)
     ]
     return matrix.agg(*counts).select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+
+
+def stratified_folds(matrix: DataFrame, folds: int = 5, key: Sequence[str] = ("customer_id",), label: str = "churn_label", seed: int = 0) -> DataFrame:
+    """Column ``fold`` from 1: rows of each class are dealt out in a seeded hash order, so folds differ by one row per class at most.
+
+    ``key`` is unique. A null label is a class of its own. Only keys and labels are ranked, over range partitions.
+    """
+    if folds < 2:
+        raise ValueError("two folds at least")
+    slim = matrix.select(*key, F.col(label).alias("_class"), F.xxhash64(F.lit(seed), *key).alias("_hash"))
+    placed = with_position(slim, F.asc_nulls_first("_class"), F.asc("_hash"), *[F.asc(c) for c in key])
+    # One row per class.
+    starts = placed.groupBy("_class").agg(F.min("position").alias("_start")).collect()
+    start = F.coalesce(*[F.when(F.col("_class").eqNullSafe(F.lit(r["_class"])), F.lit(r["_start"])) for r in starts]) if starts else F.lit(0)
+    dealt = placed.select(*key, ((F.col("position") - start) % folds + 1).cast("int").alias("fold"))
+    return matrix.join(dealt, list(key))
+
+
+def fold_parts(folded: DataFrame, folds: int = 5) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Train and test rows of each fold of ``stratified_folds``."""
+    for fold in range(1, folds + 1):
+        yield folded.filter(F.col("fold") != fold).drop("fold"), folded.filter(F.col("fold") == fold).drop("fold")

@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from keepwell.operators import audit, baselines, cleaning, evaluation, features, learning
-from keepwell.operators.splits import expanding_folds, with_holdout
+from keepwell.operators.splits import expanding_folds, fold_parts, stratified_folds, with_holdout
 from keepwell.params import Params
 from keepwell.plans.matrix import assemble, feature_matrix, fit_medians, impute
 from keepwell.session import settle
@@ -101,24 +101,40 @@ def headline(reports: dict[str, DataFrame]) -> dict[str, float]:
     }
 
 
-def cross_validate(matrix: DataFrame, cutoffs: Sequence[date], params: Params = Params()) -> DataFrame:
-    """Headline metrics per fold of cohorts: train on the cutoffs before, test on the next.
-
-    ``matrix`` holds several cutoffs and should be stored. There is one row per fold.
-    """
+def _fold_metrics(parts, params: Params, key: Sequence[str], spark) -> DataFrame:
+    """One row per fold: sizes, and headline metrics of a model fitted on its training part."""
     rows = []
-    key = ("customer_id", "cutoff_date")
-    for fold, (train, test) in enumerate(expanding_folds(matrix, cutoffs, params.evaluation.folds), start=1):
+    for fold, (train, test) in enumerate(parts, start=1):
         model = learning.fit(train, params, key)
         scored = settle(learning.scores(model.pipeline, test))
         flagged = scored.withColumn("churn_flag", (F.col("score") >= model.threshold).cast("int"))
+        confusion = evaluation.confusion(flagged)
         numbers = headline({
-            "confusion": evaluation.confusion(flagged),
+            "confusion": confusion,
             "ranking": evaluation.ranking_metrics(scored),
             "lift": evaluation.lift_at_k(scored, params.evaluation.top_share),
         })
-        rows.append((fold, *[numbers[name] for name in HEADLINE]))
-    return matrix.sparkSession.createDataFrame(rows, ", ".join(["fold int", *[f"{n} double" for n in HEADLINE]]))
+        cells = confusion.first()
+        sizes = (int(model.facts["n_train"]), cells["tp"] + cells["fp"] + cells["fn"] + cells["tn"], cells["tp"] + cells["fn"])
+        rows.append((fold, *sizes, *[numbers[name] for name in HEADLINE]))
+    schema = ", ".join(["fold int", "n_train bigint", "n_test bigint", "n_test_churned bigint", *[f"{n} double" for n in HEADLINE]])
+    return spark.createDataFrame(rows, schema)
+
+
+def cross_validate(
+    matrix: DataFrame, cutoffs: Sequence[date] | None = None, params: Params = Params(), key: Sequence[str] | None = None
+) -> DataFrame:
+    """Sizes and headline metrics per fold, one row each.
+
+    With ``cutoffs`` the folds are cohorts: train on the cutoffs before, test on the next. Without, rows are dealt out by class.
+    ``matrix`` should be stored.
+    """
+    if cutoffs:
+        parts = expanding_folds(matrix, cutoffs, params.evaluation.folds)
+        return _fold_metrics(parts, params, key or ("customer_id", "cutoff_date"), matrix.sparkSession)
+    key = key or ("customer_id",)
+    folded = settle(stratified_folds(matrix, params.evaluation.folds, key, seed=params.seed))
+    return _fold_metrics(fold_parts(folded, params.evaluation.folds), params, key, matrix.sparkSession)
 
 
 @dataclass(frozen=True)
