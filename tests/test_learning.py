@@ -182,3 +182,26 @@ def test_evaluation_of_given_scores(spark):
     df = matrix(spark).withColumn("score", F.col("recency_days") / 10 + 0.5)
     numbers = headline(full_evaluation(df, 0.5))
     assert 0 <= numbers["recall"] <= 1 and numbers["lift_at_20"] > 0
+
+
+def test_folds_by_class(spark):
+    from keepwell.operators.splits import fold_parts, stratified_folds
+
+    df = matrix(spark, 43).withColumn("churn_label", F.when(F.col("customer_id") == 7, None).otherwise(F.col("churn_label")))
+    folded = settle(stratified_folds(df, 5, seed=3))
+    assert folded.count() == 43
+    sizes = {}
+    for r in folded.groupBy("churn_label", "fold").count().collect():
+        sizes.setdefault(r["churn_label"], []).append(r["count"])
+    assert set(sizes) == {0, 1, None} and all(max(s) - min(s) <= 1 and (len(s) == 5 or k is None) for k, s in sizes.items())
+    again = stratified_folds(df.repartition(6), 5, seed=3)
+    assert sorted(map(str, again.select("customer_id", "fold").collect())) == sorted(map(str, folded.select("customer_id", "fold").collect()))
+    tests = [t.select("customer_id").collect() for _, t in fold_parts(folded, 5)]
+    assert sorted(r[0] for t in tests for r in t) == list(range(43))
+    assert all(a.count() + b.count() == 43 for a, b in fold_parts(folded, 5))
+
+
+def test_cross_validation_by_class(spark):
+    got = cross_validate(settle(matrix(spark, 60)), None, FAST.at(evaluation=Evaluation(folds=3))).collect()
+    assert [r["fold"] for r in got] == [1, 2, 3] and all(r["n_train"] + r["n_test"] == 60 for r in got)
+    assert all(r["n_test_churned"] == 5 for r in got)
