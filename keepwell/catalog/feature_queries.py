@@ -17,6 +17,7 @@ from keepwell.plans.matrix import feature_matrix
 from keepwell.plans.training import clean_feature_matrix, labelled
 from keepwell.session import settle
 from keepwell.sources import lineage, store
+from keepwell.sources.ledger import Ledger
 from keepwell.sources.retail import Retail
 from keepwell.sources.schemas import Rule
 from keepwell.sources.tables import between_dates, bounded, labels_of, run_sql
@@ -233,6 +234,16 @@ def feature_matrix_clean(spark, folder):
     return rounded(clean_feature_matrix(Retail(spark, folder).bundle(), MONTH))
 
 
+def append_once(spark, folder):
+    """Orders that reach a ledger twice: those before the cutoff first, then all, the second batch repeated."""
+    orders = settle(Retail(spark, folder).orders_head.select("order_id", "customer_id", "order_date"))
+    ledger = Ledger(spark, scratch(spark, "ledger"), orders.schema, ["order_id"])
+    ledger.commit("early", orders.filter(F.col("order_date") < F.lit(CUTOFF)))
+    ledger.commit("all", orders)
+    ledger.commit("all", orders)
+    return ledger.rows()
+
+
 DAILY = tuple(CUTOFF - timedelta(days=i) for i in range(70))
 
 QUERIES = {
@@ -248,6 +259,7 @@ QUERIES = {
     "manifest": manifest,
     "required_columns": required_columns,
     "insert_if_absent": insert_new_lines,
+    "append_once": append_once,
     "column_defaults": column_defaults,
     "observed_orders": observed_orders,
     "rfm_features": rfm_features,
@@ -395,6 +407,7 @@ ORACLE = {
             "WHERE r.customer_id = matrix.customer_id), 0), 6)"
         ), YEAR),
     "feature_matrix_multi_cohort": sql(matrix_select(), cutoffs=COHORTS),
+    "append_once": sql("SELECT order_id, customer_id, order_date FROM fact_orders"),
     "feature_matrix_daily": sql(
         matrix_select().replace("round(avg_satisfaction_score, 6)", "round(avg_satisfaction_score, 9)"), cutoffs=DAILY),
     "feature_matrix_clean": _clean_matrix(),

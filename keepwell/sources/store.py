@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keepwell.operators.constraints import insert_if_absent, split_by_rules
+from keepwell.sources.ledger import Ledger
 from keepwell.sources.schemas import KEYS, RULES
 
 
@@ -44,12 +45,21 @@ def write_labels(labels: DataFrame, path: str) -> None:
 
 
 def append_new(spark: SparkSession, rows: DataFrame, path: str, table: str, order: list[str]) -> None:
-    """Append the valid rows whose key the stored table does not hold yet."""
+    """Append the valid rows whose key the stored table does not hold yet.
+
+    A plain append: if it fails and is repeated, files of the first attempt may stay. ``commit_new`` is safe to repeat.
+    """
     stored = spark.read.parquet(path)
     fresh = insert_if_absent(stored, rows, KEYS[table], order, RULES.get(table, ()))
     fresh.write.mode("append").parquet(path)
 
 
+def commit_new(ledger: Ledger, batch: str, rows: DataFrame, table: str, order: list[str]) -> bool:
+    """Append the valid rows whose key the ledger does not hold yet; a batch that is repeated after a failure adds nothing twice."""
+    valid = split_by_rules(rows, RULES[table])[0] if table in RULES else rows
+    return ledger.commit(batch, valid, order)
+
+
 def prediction_log(predicted: DataFrame) -> DataFrame:
     """Predictions in the shape of the log, with the time of the statement."""
     return predicted.select(
@@ -64,7 +74,10 @@ def prediction_log(predicted: DataFrame) -> DataFrame:
 
 
 def append_predictions(log: DataFrame, path: str) -> DataFrame:
-    """Append the predictions that keep the rules of the log; returns those that break one, with the rules."""
+    """Append the predictions that keep the rules of the log; returns those that break one, with the rules.
+
+    A plain append, not to be repeated; ``scoring.log_once`` and ``commit_new`` log each key once.
+    """
     accepted, broken = split_by_rules(log, RULES["ml_predictions_log"])
     accepted.withColumn("prediction_day", F.to_date("prediction_date")).write.mode("append").partitionBy(
         "prediction_day"

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from keepwell.operators.constraints import validate_requests
 from keepwell.operators.decisions import predictions, with_serving_defaults
 from keepwell.operators.learning import TrainedModel, scores
+from keepwell.sources.ledger import Ledger
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -82,3 +83,17 @@ def log_predictions(scored: DataFrame, path: str, checkpoint: str, available_now
 
     writer = scored.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def log_once(scored: DataFrame, ledger: Ledger, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Append to a ledger: each key once, also beyond the watermark, after a new checkpoint and over several streams.
+
+    A micro-batch is a batch of the ledger, named by the stream and its number; one that is run again finds itself committed.
+    """
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ledger.commit(f"{stream}-{batch_id:012d}", batch)
+
+    writer = scored.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
