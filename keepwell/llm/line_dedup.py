@@ -31,24 +31,21 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    """The line without white space at both ends and with A-Z in lower case."""
-    return lower_ascii(F.btrim(line, F.lit(SPACE)))
+def line_keys(text: Column) -> Column:
+    """Of every line, what is left without white space at both ends and with A-Z in lower case.
+
+    In steps, since what a lambda names twice is worked out twice.
+    """
+    return F.transform(F.transform(lines_of(text), lambda x: F.btrim(x, F.lit(SPACE))), lower_ascii)
 
 
 def _hash(key: Column) -> Column:
     return F.unhex(F.md5(key))
 
 
-def _line_hash(line: Column, min_chars: int) -> Column:
-    """Hash of a line's key; null if the key has fewer than ``min_chars`` code points."""
-    key = line_key(line)
-    return F.when(F.length(key) >= min_chars, _hash(key))
-
-
 def line_hashes(text: Column, min_chars: int = MIN_CHARS) -> Column:
     """Hashes of the distinct keys of a text that have at least ``min_chars`` code points."""
-    keys = F.transform(lines_of(text), line_key)
+    keys = line_keys(text)
     # Distinct as strings: Spark compares binary values of an array pair by pair.
     return F.transform(F.array_distinct(F.transform(F.filter(keys, lambda k: F.length(k) >= min_chars), F.md5)), F.unhex)
 
@@ -135,7 +132,7 @@ def drop_shared_lines(
     """
     gone = shared_lines(docs, min_docs, min_chars, batches, fanout)
     number, content = _row_id()
-    every = F.transform(lines_of(F.col("text")), lambda x: _line_hash(x, min_chars))
+    every = F.transform(line_keys(F.col("text")), lambda k: F.when(F.length(k) >= min_chars, _hash(k)))
     # Equal rows have equal lines: one of them tells the positions for all.
     places = docs.select(number.alias("_id"), content.alias("_hash"), every.alias("_every")).select(
         "_id", "_hash", F.posexplode("_every").alias("place", "line")
