@@ -1,7 +1,7 @@
 """From documents to token ids: rules, line dedup, near-duplicates, mixing, encoding.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept. ``run`` writes the result of a
-stage to the shared folder and reads it again for the next one.
+stage to the shared folder, reads it again for the next one, and deletes what the stage before had written.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from keepwell.llm import bpe, line_dedup, mixing, quality_rules, simhash
-from keepwell.llm.shared import stored
+from keepwell.llm.shared import release, stored
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +54,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from keepwell.llm.shared import stored
+from keepwell.llm.shared import release, stored
 
 
-def _stars(links: DataFrame) -> DataFrame:
-    """One large-star step, then one small-star step, over links ``(a, b)`` with ``a > b``.
+def _step(links: DataFrame) -> DataFrame:
+    """One large-star step, then one small-star step, over stored links ``(a, b)`` with ``a > b``; stored, the links released.
 
     The least neighbour of a hub is an aggregate combined before its shuffle. It is stored before it joins the links, so that
     the join reads plain rows and adaptive execution can split a hub with very many of them.
@@ -18,8 +18,10 @@ def _stars(links: DataFrame) -> DataFrame:
     lifted = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     large = stored(lifted.distinct(), "large")
     low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "low")
-    lifted = large.join(low, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return lifted.union(low.select("a", F.col("m").alias("b"))).distinct()
+    onto = large.join(low, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    out = stored(onto.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
+    release(links, least, large, low)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -31,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     oriented = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now, seen = stored(oriented, "links"), None
     while True:
-        now = stored(_stars(now), "links")
+        now = _step(now)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -47,7 +47,17 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = scratch_path(spark, name)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables from ``stored`` that later ones have replaced. No DataFrame may read them any more."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            discard(df.sparkSession, path)
+            _kept[:] = [kept for kept in _kept if kept[1] != path]
 
 
 def filtered(df: DataFrame, condition: str) -> DataFrame:
