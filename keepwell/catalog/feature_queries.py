@@ -16,7 +16,7 @@ from keepwell.params import MATRIX_NUMERIC
 from keepwell.plans.matrix import feature_matrix
 from keepwell.plans.training import clean_feature_matrix, labelled
 from keepwell.session import settle
-from keepwell.sources import lineage, store
+from keepwell.sources import lineage, sketches, store
 from keepwell.sources.ledger import Ledger
 from keepwell.sources.retail import Retail
 from keepwell.sources.schemas import Rule
@@ -244,6 +244,27 @@ def append_once(spark, folder):
     return ledger.rows()
 
 
+def sketch_store(spark, folder):
+    """Amounts and customers of all orders from sketches by month: rows, and whether the median and the count keep their bounds."""
+    orders = settle(Retail(spark, folder).orders_head.select("order_date", "customer_id", "total_amount"))
+    path = scratch(spark, "sketches")
+    sketches.write_sketches(sketches.daily_sketches(orders, "order_date", ["total_amount"], ["customer_id"], grain="month"), path)
+    first, last = orders.agg(F.trunc(F.min("order_date"), "month"), F.max("order_date")).first()
+    whole = sketches.merged(spark, path, first, last)
+    median = sketches.quantiles_of(whole, {"total_amount": [0.5]}).first()
+    amount = F.col("total_amount").cast("double")
+    true = orders.agg(
+        F.count_distinct("customer_id").alias("customers"), F.avg((amount < median["value"]).cast("int")).alias("below"),
+        F.avg((amount <= median["value"]).cast("int")).alias("up_to"),
+    ).first()
+    count = sketches.distinct_of(whole).first()
+    kept = (
+        true["below"] - median["rank_error"] <= 0.5 <= true["up_to"] + median["rank_error"]
+        and abs(count["distinct_values"] - true["customers"]) <= count["relative_error"] * true["customers"]
+    )
+    return whole.select(F.col("column").alias("column_name"), "kind", F.col("rows").alias("n_rows"), F.lit(kept).alias("within_bounds"))
+
+
 DAILY = tuple(CUTOFF - timedelta(days=i) for i in range(70))
 
 QUERIES = {
@@ -260,6 +281,7 @@ QUERIES = {
     "required_columns": required_columns,
     "insert_if_absent": insert_new_lines,
     "append_once": append_once,
+    "sketch_store": sketch_store,
     "column_defaults": column_defaults,
     "observed_orders": observed_orders,
     "rfm_features": rfm_features,
@@ -407,6 +429,9 @@ ORACLE = {
             "WHERE r.customer_id = matrix.customer_id), 0), 6)"
         ), YEAR),
     "feature_matrix_multi_cohort": sql(matrix_select(), cutoffs=COHORTS),
+    "sketch_store": sql("""
+        SELECT 'total_amount' AS column_name, 'quantiles' AS kind, count(total_amount) AS n_rows, true AS within_bounds FROM fact_orders
+        UNION ALL SELECT 'customer_id', 'distinct', count(customer_id), true FROM fact_orders"""),
     "append_once": sql("SELECT order_id, customer_id, order_date FROM fact_orders"),
     "feature_matrix_daily": sql(
         matrix_select().replace("round(avg_satisfaction_score, 6)", "round(avg_satisfaction_score, 9)"), cutoffs=DAILY),

@@ -34,10 +34,13 @@ def distinct_error(lg: int) -> float:
 
 def daily_sketches(
     df: DataFrame, day: str, numeric: Sequence[str] = (), distinct: Sequence[str] = (), by: Sequence[str] = (),
-    k: int = QUANTILE_K, lg: int = DISTINCT_LG,
+    k: int = QUANTILE_K, lg: int = DISTINCT_LG, grain: str = "day",
 ) -> DataFrame:
     """``(*by, day, column, kind, size, rows, sketch)``: one row per group, day and column. NULLs do not count.
 
+    With the grain ``month`` a row stands for a month and is dated by its first day: fewer folders for a long past, and windows of
+    whole months.
+
     One aggregation, combined before its shuffle; ``size`` is k or lg, from which the error bound follows.
     """
     made = [F.count(c).alias(f"_n_{kind}_{c}") for kind, names in (("quantiles", numeric), ("distinct", distinct)) for c in names]
@@ -52,7 +55,10 @@ def daily_sketches(
     ]
     if not cells:
         raise ValueError("no column to sketch")
-    daily = df.groupBy(*by, F.to_date(day).alias("day")).agg(*made)
+    if grain not in ("day", "month"):
+        raise ValueError("the grain is day or month")
+    dated = F.to_date(day) if grain == "day" else F.trunc(F.to_date(day), "month")
+    daily = df.groupBy(*by, dated.alias("day")).agg(*made)
     return daily.select(*by, "day", F.explode(F.array(*cells)).alias("cell")).select(*by, "day", "cell.*").filter("rows > 0")
 
 

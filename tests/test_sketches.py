@@ -71,6 +71,15 @@ def test_drift_from_two_stored_ranges(spark, facts, path):
     assert moved["share_error"] == pytest.approx(sketches.rank_error(sketches.QUANTILE_K, True))
 
 
+def test_months(spark, facts, tmp_path):
+    home = f"file://{tmp_path}/monthly"
+    sketches.write_sketches(sketches.daily_sketches(facts, "day_of", ["amount"], grain="month"), home)
+    assert spark.read.parquet(home).select("day").distinct().count() == 2
+    assert sketches.merged(spark, home, START, date(2024, 1, 31)).first()["rows"] == window(facts, 0, 30).filter("amount IS NOT NULL").count()
+    with pytest.raises(ValueError, match="grain"):
+        sketches.daily_sketches(facts, "day_of", ["amount"], grain="year")
+
+
 def test_empty_and_blank(spark, facts, path):
     none = sketches.merged(spark, path, date(2030, 1, 1), date(2030, 2, 1))
     assert none.count() == 0 and sketches.drift(none, none, ["amount"]).count() == 0
