@@ -169,3 +169,16 @@ def test_report_names_every_part(spark, folder):
     assert parts["overview"].first()["n_customers"] == whole.count()
     assert parts["stop_go_summary"].count() == 3
     assert parts["feature_coverage"].first()["coverage_pct"] == 100.0
+
+
+def test_keys_of_a_large_table_are_spread_over_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(audit, "GROUP_ROWS", 50)
+    df = spark.range(1000).select(F.concat(F.lit("K"), F.col("id") % 900).alias("order_id")).unionByName(
+        spark.sql("SELECT CAST(NULL AS STRING) AS order_id FROM range(3)")
+    )
+    found = audit.duplicate_keys(df, "t", ["order_id"])
+    # 1003 rows at 50 a task, with 4 shuffle partitions; before, all tables had those 4.
+    assert found.rdd.getNumPartitions() == 21
+    assert found.count() == 101 and found.filter("key_value = ''").first()["cnt"] == 3
+    row = audit.key_counts(df, "t", ["order_id"]).first()
+    assert (row["total_rows"], row["distinct_keys"], row["duplicate_keys"]) == (1003, 900, 103)
