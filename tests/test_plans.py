@@ -207,3 +207,39 @@ def test_cluster_without_a_named_folder(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_medians_move_no_row_of_the_matrix(spark):
+    """Joined by the cutoff, all rows of one cutoff would be one task, and so would all that reads them."""
+    from keepwell.params import MATRIX_NUMERIC
+    from keepwell.plans.matrix import impute
+
+    columns = ", ".join(f"CAST(nullif(id % 3, 0) AS DOUBLE) AS {c}" for c in MATRIX_NUMERIC)
+    matrix = spark.sql(
+        f"SELECT id AS customer_id, DATE '2023-01-01' AS cutoff_date, {columns}, 'VIP' AS customer_segment, 'a' AS preferred_category, 0 AS churn_label FROM range(70)"
+    ).repartition(7)
+    fit = spark.sql(f"SELECT DATE '2023-01-01' AS cutoff_date, {', '.join(f'1.5D AS _med_{c}' for c in MATRIX_NUMERIC)}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        filled = impute(matrix, fit)
+        assert filled.rdd.getNumPartitions() == 7 and "hashpartitioning(cutoff_date" not in plan(filled)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert filled.filter("recency_days = 1.5").count() == 24
+
+
+def test_known_orders_pick_the_lines_of_the_preferred_category(spark, folder):
+    tables = Retail(spark, folder)
+    text = feats.preferred_category(tables.orders_head, tables.items, CUTOFF)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Join Inner, (product_id") < text.index("Join LeftSemi")
+
+
+def test_matrix_prefers_categories_of_its_own_customers(spark, folder):
+    window = (date(1997, 4, 1), date(1997, 7, 30))
+    tables = Retail(spark, folder)
+    own = tables.bundle(CUTOFF, window, CUTOFF).customers.select("customer_id", "preferred_category")
+    every = tables.customers(CUTOFF).select("customer_id", "preferred_category")
+    seen = between_dates(tables.orders_head, "order_date", window[0], CUTOFF).select("customer_id").distinct()
+    assert own.join(seen, "customer_id").exceptAll(every.join(seen, "customer_id")).count() == 0
+    assert own.count() == every.count()
+    assert own.filter("preferred_category IS NOT NULL").count() <= seen.count()
