@@ -83,9 +83,62 @@ def test_smote_beyond_the_exact_bound(spark):
         assert 0 <= gap < 1 and np.allclose(v, a + gap * (b - a))
 
 
+def test_smote_of_many_copies_goes_to_the_nearest(spark):
+    """500 copies of each of 41 places: of those at distance 0 the smaller ids are nearer."""
+    rows = spark.range(20_500, numPartitions=4).select(
+        F.col("id").alias("point"), F.array((F.col("id") % 41).cast("double"), F.lit(1.0)).alias("vector")
+    )
+    made = smote(settle(rows), 80_000, Oversampling(ratio=0.5))
+    assert made.count() == 19_500
+    assert made.filter("neighbour % 41 <> point % 41 OR neighbour >= 41 * 6").count() == 0
+
+
 def test_too_many_points_for_all_pairs(spark, monkeypatch):
     from keepwell.operators import neighbours
 
     monkeypatch.setattr(neighbours, "MOST_POINTS", 2)
     with pytest.raises(ValueError, match="too many"):
         nearest_neighbours(points(spark, np.zeros((3, 1))), 1)
+
+
+def test_more_points_than_were_allowed_are_compared_exactly(spark):
+    rows = spark.range(210_000, numPartitions=8).select(F.col("id").alias("point"), F.array(F.col("id").cast("double")).alias("vector"))
+    found = nearest_neighbours(settle(rows), 2).groupBy("point").agg(
+        F.array_sort(F.collect_list(F.struct("place", "neighbour", "distance"))).alias("hits")
+    )
+    last, p, hit = 209_999, F.col("point"), F.transform("hits", lambda h: h["neighbour"])
+    ends = F.when(p == 0, F.array(F.lit(1), F.lit(2))).when(p == last, F.array(F.lit(last - 1), F.lit(last - 2))).otherwise(F.array(p - 1, p + 1))
+    assert found.filter(hit == ends).count() == 210_000
+
+
+@pytest.mark.parametrize("kind", ["normal", "far from zero", "copies", "few values"])
+def test_cells_miss_no_neighbour(monkeypatch, kind):
+    from keepwell.operators import neighbours
+
+    monkeypatch.setattr(neighbours, "CELL_POINTS", 9)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 4))
+    if kind == "far from zero":
+        x = x * 1e-3 + 1e6
+    elif kind == "copies":
+        x[:150] = x[0]
+    elif kind == "few values":
+        x = x.round(0)
+    ids = rng.permutation(300)
+    known = neighbours._Known.of(ids, x, 5)
+    assert len(known.starts) > 30
+    got = {}
+    for own in neighbours._cells(x, 64, known.reach):
+        place, near, squares = neighbours._closest_in(known, ids[own], x[own], 5)
+        for p, n, s in zip(ids[own][place].tolist(), near.tolist(), squares.tolist()):
+            got.setdefault(p, []).append((s, n))
+    for at, point in enumerate(ids.tolist()):
+        squares = neighbours._squares(x[at:at + 1], x)[0]
+        assert sorted(got[point]) == sorted((s, i) for s, i in zip(squares.tolist(), ids.tolist()) if i != point)[:5]
+
+
+def test_rows_of_one_point_count_as_before(spark):
+    x = np.array([[0.0], [0.0], [1.0], [3.0], [7.0]])
+    table = settle(points(spark, x).unionByName(points(spark, x)))
+    found = sorted(map(tuple, nearest_neighbours(table, 3).select("point", "place", "neighbour").collect()))
+    assert [n for p, _, n in found if p == 4] == [3, 3, 3] and [n for p, _, n in found if p == 0] == [1, 1, 1]
