@@ -205,3 +205,16 @@ def test_cross_validation_by_class(spark):
     got = cross_validate(settle(matrix(spark, 60)), None, FAST.at(evaluation=Evaluation(folds=3))).collect()
     assert [r["fold"] for r in got] == [1, 2, 3] and all(r["n_train"] + r["n_test"] == 60 for r in got)
     assert all(r["n_test_churned"] == 5 for r in got)
+
+
+def many(spark, rows):
+    """As many rows, half of them churned, so that nothing is oversampled."""
+    each = [(F.pmod(F.xxhash64("customer_id", F.lit(i)), F.lit(1000)) + F.col("churn_label") * 300).cast("double").alias(c) for i, c in enumerate(NUMERIC_FEATURES)]
+    base = spark.range(rows, numPartitions=8).select(F.col("id").alias("customer_id"), (F.col("id") % 2).cast("int").alias("churn_label"))
+    return settle(base.select("customer_id", *each, F.lit("a").alias("preferred_category"), F.lit("VIP").alias("customer_segment"), "churn_label"))
+
+
+def test_cross_validation_fits_on_all_rows(spark):
+    few = FAST.at(boosting=Boosting(trees=1, depth=2), evaluation=Evaluation(folds=2))
+    got = cross_validate(many(spark, 210_000), None, few).collect()
+    assert [(r["n_train"], r["n_test"], r["n_test_churned"]) for r in got] == [(105_000, 105_000, 52_500)] * 2
