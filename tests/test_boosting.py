@@ -166,3 +166,31 @@ def test_constant_missing_and_one_class(spark):
 def test_settings_of_a_configuration():
     own = Params.from_config({"model": {"hyperparams": {"gamma": 2.0, "reg_alpha": 0.3, "reg_lambda": 4.0, "min_child_weight": 9}}}).boosting
     assert (own.gamma, own.l1, own.l2, own.min_hessian) == (2.0, 0.3, 4.0, 9)
+
+
+def test_inputs_with_a_usual_bin_are_summed_the_same():
+    rng = np.random.default_rng(5)
+    bins = np.column_stack([rng.integers(0, 16, 500), rng.random(500) < 0.1, np.zeros(500), rng.random(500) < 0.8, rng.integers(0, 3, 500)]).astype(np.uint8)
+    listed, plain_columns = boosting.Columns.of(bins, listed=True), boosting.Columns.of(bins)
+    assert set(listed.rest) == {1, 2, 3} and not plain_columns.rest
+    at, used = rng.integers(3, 7, 500), rng.random(500) < 0.8
+    g, h = np.rint(rng.normal(size=500) * 1e6), np.rint(rng.random(500) * 1e6)
+    got = [boosting.histograms(c, at, used, [4, 6], np.array([0, 1, 2, 3, 4]), 16, g, h) for c in (listed, plain_columns)]
+    assert np.array_equal(*got)
+    for node, cells in zip((4, 6), got[0]):
+        for column, by_bin in enumerate(cells):
+            for b, sums in enumerate(by_bin):
+                rows = used & (at == node) & (bins[:, column] == b)
+                assert sums.tolist() == [g[rows].sum(), h[rows].sum(), rows.sum()]
+    no_rows = boosting.histograms(listed, at, np.zeros(500, bool), [4], np.array([0, 1]), 16, g, h)
+    assert not no_rows.any()
+
+
+def test_rows_go_down_a_level_at_a_time():
+    rng = np.random.default_rng(6)
+    bins = rng.integers(0, 256, (200, 3)).astype(np.uint8)
+    tree = boosting.Tree(np.array([1, 0, -1, -1, 2, *[-1] * 10], np.int32), np.array([100, 254, 0, 0, 7, *[0] * 10], np.int32), *[np.zeros(15)] * 3)
+    at, told = np.zeros(200, np.int64), boosting.Columns.of(bins)
+    for _ in range(3):
+        at = told.below(tree, at)
+    assert np.array_equal(at, tree.leaf_of(bins))

@@ -218,3 +218,21 @@ def test_cross_validation_fits_on_all_rows(spark):
     few = FAST.at(boosting=Boosting(trees=1, depth=2), evaluation=Evaluation(folds=2))
     got = cross_validate(many(spark, 210_000), None, few).collect()
     assert [(r["n_train"], r["n_test"], r["n_test_churned"]) for r in got] == [(105_000, 105_000, 52_500)] * 2
+
+
+@pytest.fixture
+def cut_to_five(monkeypatch):
+    """A fit that goes by ``rows_to_fit`` would see five rows."""
+    monkeypatch.setattr(learning, "rows_to_fit", lambda train, *_: train.limit(5))
+
+
+def test_registered_model_is_fitted_on_all_training_rows(spark, folder, cut_to_five, monkeypatch, tmp_path):
+    from keepwell.catalog import learning_queries
+
+    monkeypatch.setattr(learning_queries, "_FITTED", {})
+    monkeypatch.setattr(learning_queries, "YEAR", FAST)
+    monkeypatch.setattr(learning_queries, "scratch", lambda spark, name: str(tmp_path / name))
+    learning_queries.model_registry(spark, folder).collect()
+    [model] = learning_queries._FITTED.values()
+    assert model.facts["n_train"] == learning_queries._parts(spark, folder)[0].count() == 33
+    assert lineage.load_latest_model(spark, str(tmp_path / "registry")).version == model.version
