@@ -236,3 +236,13 @@ def test_registered_model_is_fitted_on_all_training_rows(spark, folder, cut_to_f
     [model] = learning_queries._FITTED.values()
     assert model.facts["n_train"] == learning_queries._parts(spark, folder)[0].count() == 33
     assert lineage.load_latest_model(spark, str(tmp_path / "registry")).version == model.version
+
+
+def test_streaming_model_is_fitted_on_all_training_rows(spark, folder, cut_to_five, monkeypatch):
+    from keepwell.catalog import learning_queries
+
+    monkeypatch.setattr(learning_queries, "_FITTED", {})
+    monkeypatch.setattr(learning_queries, "YEAR", FAST)
+    logged = learning_queries.model_stream(spark, folder)
+    assert logged.filter("agrees AND dated AND acted").count() == logged.count() > 0
+    assert [m.facts["n_train"] for m in learning_queries._FITTED.values()] == [33]
