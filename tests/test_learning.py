@@ -246,3 +246,8 @@ def test_streaming_model_is_fitted_on_all_training_rows(spark, folder, cut_to_fi
     logged = learning_queries.model_stream(spark, folder)
     assert logged.filter("agrees AND dated AND acted").count() == logged.count() > 0
     assert [m.facts["n_train"] for m in learning_queries._FITTED.values()] == [33]
+
+
+def test_run_fits_on_all_training_rows(spark, folder, cut_to_five):
+    run = train_and_evaluate(Retail(spark, folder).bundle(), FAST, on_stop="go_on")
+    assert run.model.facts["n_train"] == 33
